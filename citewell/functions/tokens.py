@@ -18,13 +18,15 @@ def tokens(document: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
     return F.filter(found, lambda t: ~t.isin(list(stop_words)))
 
 
-def known_words(words: str, keep: Iterable[str]) -> Column:
-    """Tokens of the array column ``words`` that are in ``keep``; the others become null.
+def in_list(name: str, values: Iterable[str]) -> str:
+    """SQL text of a membership test; thousands of values are slow to pass one by one."""
+    escaped = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return f"{name} IN ({','.join(f"'{v}'" for v in escaped)})"
 
-    Written as SQL text: a list of thousands of words is slow to pass value by value.
-    """
-    listed = ",".join(f"'{w}'" for w in keep)
-    return F.expr(f"transform({words}, t -> CASE WHEN t IN ({listed}) THEN t END)")
+
+def known_words(words: str, keep: Iterable[str]) -> Column:
+    """Tokens of the array column ``words`` that are in ``keep``; the others become null."""
+    return F.expr(f"transform({words}, t -> CASE WHEN {in_list('t', keep)} THEN t END)")
 
 
 def bigrams(words: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citewell.functions.text import blank, json_text, normalize_title
-from citewell.functions.tokens import one_per_row
+from citewell.functions.tokens import in_list, one_per_row
 from citewell.functions.venues import facet_text, facet_venue, facet_year, facets_match
 from citewell.functions.vocab import CONFERENCES
+from citewell.session import spread
 
 # Separates the searchable fields of a paper in one text; never part of a query.
 _FIELD_BREAK = "\x01"
@@ -15,6 +16,9 @@ _FIELD_BREAK = "\x01"
 # Queries are located by a piece of this many characters, or fewer when shorter.
 _ANCHOR = 5
 
+# So many distinct anchors are passed to the tasks as constants; beyond that they are joined.
+_INLINE_ANCHORS = 2000
+
 
 def newest_first() -> list[Column]:
     return [F.desc_nulls_last("year"), F.asc_nulls_first("title"), F.asc_nulls_first("id")]
@@ -82,50 +86,66 @@ def parsed_queries(queries: DataFrame, facets: bool = True) -> DataFrame:
     )
 
 
-def query_matches(papers: DataFrame, queries: DataFrame, facets: bool = True) -> DataFrame:
-    """All (query, paper) matches for a table of queries, without pairing everything.
-
-    Each query picks one anchor: the start of its longest wildcard-free piece.  Each
-    paper offers its own pieces of the anchor lengths in use, the two sides meet in an
-    equi-join on the piece, and the full condition is checked on what meets.  A query
-    with no literal text has the empty anchor, which every paper offers.
-    """
+def anchored_queries(queries: DataFrame, facets: bool = True) -> DataFrame:
+    """Parsed queries with ``anchor``, the start of the longest wildcard-free piece, and ``wild``."""
     pieces = F.transform(
         F.split("text", "[%_]"), lambda p: F.struct((-F.length(p)).alias("rank"), p.alias("piece"))
     )
     longest = F.element_at(F.sort_array(pieces), 1)["piece"]
-    asked = (
+    return (
         parsed_queries(queries, facets)
         .withColumn("anchor", F.substring(longest, 1, _ANCHOR))
         .withColumn("wild", F.col("text").rlike("[%_]"))
     )
-    lengths = sorted(r[0] for r in asked.select(F.length("anchor")).distinct().collect())
+
+
+def text_pieces(text: Column, lengths: list[int]) -> Column:
+    """The distinct pieces of a text of each length, in one pass per length."""
+    def pieces(n: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) if n else F.array(F.lit(""))
+
+    return F.array_distinct(F.concat(*[pieces(n) for n in lengths]))
+
+
+def query_matches(
+    papers: DataFrame, queries: DataFrame, facets: bool = True, inline_anchors: int = _INLINE_ANCHORS
+) -> DataFrame:
+    """All (query, paper) matches for a table of queries, without pairing everything.
+
+    A paper offers the pieces of its searchable text that have the length of some
+    query's anchor; queries and papers meet in an equi-join on the piece, and the full
+    condition is checked on what meets.  A query with no literal text has the empty
+    anchor, which every paper offers.
+
+    Up to ``inline_anchors`` distinct anchors are tested inside the row, so only pieces
+    that some query wants are exploded and the catalog is not shuffled.  With more, bare
+    ``(id, piece)`` rows are joined first, and the papers that met are looked up by id.
+    """
+    asked = anchored_queries(queries, facets)
+    lengths = sorted(r[0] for r in asked.select(F.length("anchor")).distinct().collect())  # at most six
+    anchors = [r[0] for r in asked.select("anchor").distinct().limit(inline_anchors + 1).collect()]
 
     title, venue, key, words = search_fields()
-    named = papers.select(
-        "id", "title", "title_normalized", "year", "venue", "dblp_key",
+    narrow = papers.select("id", "title", "title_normalized", "year", "venue", "dblp_key", "keywords")
+    named = spread(narrow, "id").select(
+        "id", "title", "title_normalized", "year", "venue",
         venue.alias("f_venue"), key.alias("f_key"), words.alias("f_words"),
     ).withColumn("hay", F.concat_ws(_FIELD_BREAK, "title_normalized", "f_venue", "f_key", "f_words"))
+    pieces = text_pieces(F.col("hay"), lengths or [0])
+    if len(anchors) <= inline_anchors:
+        wanted = named.withColumn("pieces", pieces)
+        if anchors:
+            wanted = wanted.withColumn("pieces", F.expr(f"filter(pieces, p -> {in_list('p', anchors)})"))
+        met = one_per_row(wanted, F.col("pieces"), "anchor", *named.columns).join(asked, "anchor")
+    else:
+        offered = one_per_row(named, pieces, "anchor", "id")
+        met = offered.join(asked, "anchor").join(named, "id")
 
-    size = F.length("hay")
-
-    def spots(n: int) -> Column:
-        """Start positions of the pieces of length ``n``; one for the empty piece."""
-        last = F.greatest(size - n + 1, F.lit(1)) if n else F.lit(1)
-        places = F.transform(F.sequence(F.lit(1), last), lambda at: F.struct(at.alias("at"), F.lit(n).alias("n")))
-        return F.when(size >= n, places).otherwise(F.array().cast("array<struct<at:int,n:int>>"))
-
-    places = F.concat(*[spots(n) for n in lengths]) if lengths else spots(0)
-    offered = one_per_row(named, places, "spot", *named.columns).withColumn(
-        "anchor", F.substring(F.col("hay"), F.col("spot.at"), F.col("spot.n"))
-    )
-    met = offered.join(asked, "anchor")
-    once = (F.col("spot.n") == 0) | (F.instr(F.col("hay"), F.col("anchor")) == F.col("spot.at"))
     pattern = like_pattern(F.col("text"))
     by_field = _any([F.like(F.col(c), pattern) for c in ("title_normalized", "f_venue", "f_key", "f_words")])
     text_ok = F.when(F.col("wild"), by_field).otherwise(F.contains(F.col("hay"), F.col("text")))
     facets_ok = facets_match(F.col("want_venue"), F.col("want_year"), F.col("venue"), F.col("year"))
-    return met.where(once & text_ok & facets_ok).select("query_id", "id", "title", "year", "venue")
+    return met.where(text_ok & facets_ok).select("query_id", "id", "title", "year", "venue")
 
 
 def batch_search(papers: DataFrame, queries: DataFrame, limit: int = 20, facets: bool = True) -> DataFrame:

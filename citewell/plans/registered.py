@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Parameters shared with the SQL twins.
-DRILLDOWN_KEYWORD = "est"
+DRILLDOWN_KEYWORD = "tion"
 SEARCH_TEXT = "Src1"
 WILDCARD_TEXT = "the%thanedble"
 EXACT_TITLE = "The and attion to  thanedble the, anea. Eriner THANEA."
