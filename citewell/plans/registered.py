@@ -345,7 +345,7 @@ def purge_source(spark, sf_dir):
 
 @query
 def fill_venues(spark, sf_dir):
-    return catalog.fill_venues(papers(spark, sf_dir)).select("id", "venue", "year")
+    return catalog.fill_venues(papers(spark, sf_dir).select("id", "venue", "year"))
 
 
 @query
@@ -513,12 +513,21 @@ def doi_urls(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", keys.doi_url(doi).alias("url"))
 
 
+def _word_positions(documents):
+    """``(doc_id, index)``: word -> positions map of the whole text.
+
+    One shuffle by document serves both groupings; words count within the document only.
+    """
+    spread_out = documents.select("doc_id", "text").repartition("doc_id")
+    words = spread_out.select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    lists = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("positions"))
+    return lists.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index"))
+
+
 @query
 def inverted_abstract(spark, sf_dir):
     """Word -> positions maps built from whole texts, then read back as text."""
-    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
-    lists = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("positions"))
-    index = lists.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index"))
+    index = _word_positions(table(spark, sf_dir, "documents"))
     return index.select("doc_id", F.md5(text.inverted_abstract(F.col("index"))).alias("text_md5"))
 
 
@@ -592,9 +601,7 @@ def dblp_pages(spark, sf_dir):
 @query
 def openalex_pages(spark, sf_dir):
     doc = F.col("doc_id")
-    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
-    lists = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("positions"))
-    index = lists.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index"))
+    index = _word_positions(table(spark, sf_dir, "documents"))
     doi = F.concat(F.when(doc % 2 == 0, "https://doi.org/").otherwise(""), F.lit("10.1/"), doc)
     item = F.struct(
         F.when(doc % 3 != 0, F.concat(F.lit("W"), doc)).alias("id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
@@ -647,7 +654,7 @@ def pdf_listing(spark, sf_dir):
 
 @query
 def batches_of_50(spark, sf_dir):
-    return sinks.numbered_batches(papers(spark, sf_dir)).select("id", "row_index", "batch_no")
+    return sinks.numbered_batches(papers(spark, sf_dir).select("id", "title", "year")).select("id", "row_index", "batch_no")
 
 
 @query
