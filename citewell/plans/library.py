@@ -20,12 +20,13 @@ class Library:
 
     Each change writes a whole new catalog version and then appends one pointer row, so
     readers never see half a change and a lost job leaves the old version current.  One
-    writer at a time.
+    writer at a time.  ``refresh_options`` go to every rebuild of the derived tables.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, **refresh_options):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.refresh_options = refresh_options
 
     # Versions
 
@@ -67,7 +68,8 @@ class Library:
 
     def refresh(self, **options) -> derive.Derived:
         version = self.version()
-        run_id = derive.publish(derive.refresh(self.papers(), **options), self.root, version)
+        built = derive.refresh(self.papers(), **{**self.refresh_options, **options})
+        run_id = derive.publish(built, self.root, version)
         return derive.published(self.spark, self.root, run_id)
 
     def _run(self):
