@@ -26,7 +26,9 @@ def _incoming(batch: DataFrame, source_query: str | None, fetched_at: Column) ->
     rows = batch.withColumn("title_normalized", normalize_title(F.col("title")))
     for name in ("authors", "electronic_edition", "keywords"):
         rows = rows.withColumn(name, F.coalesce(name, empty))
-    return rows.withColumn("source_query", F.lit(source_query).cast("string")).withColumn("fetched_at", fetched_at)
+    if "source_query" not in batch.columns:
+        rows = rows.withColumn("source_query", F.lit(source_query).cast("string"))
+    return rows.withColumn("fetched_at", fetched_at)
 
 
 def fold_batch(incoming: DataFrame) -> DataFrame:
@@ -50,6 +52,8 @@ def merge_upsert(
 ) -> DataFrame:
     """Catalog after the batch (``PAPER_IN`` rows) is merged in on ``dblp_key``.
 
+    A ``source_query`` column in the batch, where it has one, takes the place of the argument.
+
     The batch is folded to one row per key first.  Each join has the folded batch or its
     keys on the small side, so a batch under the broadcast threshold leaves the catalog
     unshuffled.  Catalog rows without a key cannot match and skip the join.

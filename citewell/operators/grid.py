@@ -37,6 +37,17 @@ def grid_coverage(papers: DataFrame, venues: Sequence[str] = CONFERENCES, years:
     )
 
 
-def in_cell(records: DataFrame, venue: str, year: int) -> DataFrame:
-    """Records that belong to one cell."""
-    return records.where((F.col("year") == year) & F.contains(F.upper("venue"), F.lit(venue)))
+def cell_batches(records: DataFrame, venues: Sequence[str] = CONFERENCES, years: Sequence[int] = YEARS) -> DataFrame:
+    """Records of each cell as one import batch, cell after cell.
+
+    A record joins every cell whose venue its text names; ``source_query`` tells the cell.
+    """
+    numbered = F.array(*[F.struct(F.lit(v).alias("name"), F.lit(i).alias("no")) for i, v in enumerate(venues)])
+    named = F.filter(numbered, lambda v: F.contains(F.upper("venue"), v["name"]))
+    cells = records.where(F.col("year").isin(*years)).select("*", F.explode(named).alias("_cell"))
+    cell_no = F.col("_cell.no") * len(years) + F.array_position(F.array(*[F.lit(y) for y in years]), F.col("year"))
+    return (
+        cells.withColumn("source_query", F.concat_ws(":", F.col("_cell.name"), F.col("year"), F.lit("openalex-crossref")))
+        .withColumn("_seq", F.shiftleft(cell_no.cast("bigint"), 48) + F.col("_seq"))
+        .drop("_cell")
+    )

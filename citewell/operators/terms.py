@@ -34,7 +34,14 @@ def counted(terms: Column, corpus: DataFrame) -> DataFrame:
 
 
 def _largest(counts: DataFrame, limit: int) -> list[tuple[str, int]]:
-    return [(r["term"], r["n"]) for r in counts.orderBy(F.desc("n"), "term").limit(limit).collect()]
+    """The ``limit`` largest counts, ties by term.
+
+    The limited rows are gathered by one more aggregate, so that the partial lists of
+    many partitions meet in a task and only the final list reaches the driver.
+    """
+    top = counts.orderBy(F.desc("n"), "term").limit(limit)
+    rows = top.agg(F.collect_list(F.struct("term", "n")).alias("rows")).first()["rows"]
+    return sorted(((r["term"], r["n"]) for r in rows), key=_rank)
 
 
 def _rank(entry: tuple[str, int]) -> tuple[int, str]:
@@ -46,14 +53,14 @@ def vocabulary(corpus: DataFrame, size: int = VOCABULARY_SIZE) -> list[tuple[str
 
     A pair cannot be more frequent than its rarer word.  So single words are counted
     first; once ``size`` of them are at hand, only pairs of words at least as frequent
-    as the last one can still enter, and the rest are never shuffled.  The driver holds
-    a few times ``size`` rows.
+    as the last one can still enter, and the rest are never shuffled.  (Where ties would
+    make that list long, all pairs are counted.)  The driver holds ``3 * size`` rows.
     """
-    words = _largest(counted(F.col("tokens"), corpus), 4 * size)
+    words = _largest(counted(F.col("tokens"), corpus), 2 * size)
     keep = None
     if len(words) >= size:
         floor = words[size - 1][1]
-        if len(words) < 4 * size or words[-1][1] < floor:
+        if len(words) < 2 * size or words[-1][1] < floor:
             keep = [term for term, n in words if n >= floor]
     if keep is not None:
         corpus = corpus.select(known_words("tokens", keep).alias("tokens"))

@@ -8,10 +8,10 @@ from collections.abc import Iterable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citewell.operators import catalog, keywords, search, trends
-from citewell.operators.match import best_abstracts
+from citewell.operators import catalog, collect, grid, keywords, match, search, trends
 from citewell.plans import refresh as derive
 from citewell.schemas import PAPERS
+from citewell.session import checkpointed
 from citewell.sources.records import from_records, from_titles
 
 
@@ -101,9 +101,10 @@ class Library:
         if not count:
             return 0
         merged = catalog.merge_upsert(self.papers(), batch, source_query)
-        clashes = [r["doi"] for r in catalog.doi_clashes(merged, batch).limit(5).collect()]
-        if clashes:
-            raise ValueError(f"DOI held by more than one paper: {', '.join(clashes)}")
+        if not batch.where("doi IS NOT NULL").isEmpty():
+            clashes = [r["doi"] for r in catalog.doi_clashes(merged, batch).limit(5).collect()]
+            if clashes:
+                raise ValueError(f"DOI held by more than one paper: {', '.join(clashes)}")
         self._save(merged, batch_id)
         if refresh:
             self.refresh()
@@ -118,6 +119,28 @@ class Library:
         """Record rows with ``_seq``, or rows already read by ``read_records``."""
         return self.upsert(from_records(records), "bulk-import")
 
+    def collect_grid(self, *sources: DataFrame) -> int:
+        """Import the records of several sources that fall into the collection grid."""
+        return self.upsert(grid.cell_batches(collect.union_sources(*sources)))
+
+    def lookup(self, queries: DataFrame, staged_hits: DataFrame, limit: int = 20, exact: bool = False) -> DataFrame:
+        """Answer ``(query_id, query)`` rows local-first; answers from a source enter the catalog.
+
+        ``staged_hits`` are import rows with ``query_id, source, priority``.  Returns
+        ``query_id, source`` and the stored paper's columns.
+        """
+        before = self.papers()
+        local = match.local_hits(before, queries, limit, exact).select("query_id", "id").withColumn("source", F.lit("local"))
+        hits = match.fetched_hits(queries, local, staged_hits, limit).join(
+            queries.select("query_id", F.col("query").alias("source_query")), "query_id"
+        )
+        fetched = checkpointed(hits)
+        self.upsert(fetched.drop("query_id", "source", "priority"))
+        after = self.papers()
+        stored = fetched.where("dblp_key IS NOT NULL").select("query_id", "source", "dblp_key").distinct()
+        found = after.join(stored, "dblp_key").select("query_id", "source", *after.columns)
+        return after.join(local, "id").select("query_id", "source", *after.columns).unionByName(found)
+
     def update_paper(self, paper_id: int, title: str, venue: str | None, year: int | None,
                      keywords: Sequence[str] | str) -> DataFrame | None:
         if not title.strip():
@@ -145,7 +168,7 @@ class Library:
     def enrich_abstracts(self, hits: DataFrame) -> int:
         """Fill missing abstracts from staged hits; papers that have one are left alone."""
         lacking = self.papers().where("abstract IS NULL OR abstract = ''").select(F.col("id").alias("paper_id"))
-        found = best_abstracts(hits.join(lacking, "paper_id", "left_semi"))
+        found = match.best_abstracts(hits.join(lacking, "paper_id", "left_semi"))
         changed = found.count()
         if changed:
             self._save(catalog.set_abstracts(self.papers(), found))

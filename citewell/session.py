@@ -8,7 +8,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "citewell", master: str | None = None, **conf: str) -> SparkSession:
+# One shuffle partition should hold about this much.
+_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partition_settings(input_bytes: int) -> dict[str, str]:
+    """Shuffle settings for jobs over ``input_bytes``.
+
+    Shuffles start with one partition per 128 MB of input, so that none outgrows an
+    executor; adaptive execution merges the small ones that map-side combining leaves.
+    """
+    partitions = max(200, -(-input_bytes // _PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(2 * _PARTITION_BYTES),
+    }
+
+
+def build_session(
+    app_name: str = "citewell", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Session with adaptive execution; keyword settings write a dot as ``__``."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
@@ -17,6 +38,8 @@ def build_session(app_name: str = "citewell", master: str | None = None, **conf:
     )
     if master:
         builder = builder.master(master)
+    for key, value in (partition_settings(input_bytes) if input_bytes else {}).items():
+        builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -72,6 +72,27 @@ def test_abstracts_make_derived_tables_stale(library, batch_of, spark):
     assert not library.is_stale()
 
 
+def test_lookup_stores_what_a_source_answers(library, batch_of, spark):
+    library.upsert(batch_of({"title": "Vision nets", "dblp_key": "v"}), refresh=False)
+    asked = spark.createDataFrame([("a", "vision"), ("b", "diffusion"), ("c", "nobody")], "query_id string, query string")
+    hits = batch_of(*[{"title": t, "dblp_key": t} for t in ("Ignored", "Diffusion one", "Diffusion two", "Diffusion three", "Second source")])
+    marks = spark.createDataFrame([(0, "a", "X", 0), (1, "b", "X", 0), (2, "b", "X", 0), (3, "b", "X", 0), (4, "b", "Y", 1)],
+                                  "_seq long, query_id string, source string, priority int")
+    rows = library.lookup(asked, hits.join(marks, "_seq"), limit=2).collect()
+    assert sorted((r.query_id, r.source, r.title, r.source_query) for r in rows) == [
+        ("a", "local", "Vision nets", None), ("b", "X", "Diffusion one", "diffusion"), ("b", "X", "Diffusion two", "diffusion")]
+    assert library.count() == 3
+
+
+def test_collect_grid_keeps_the_cell(library, batch_of):
+    records = batch_of({"title": "A", "dblp_key": "a", "venue": "cvpr 2022", "year": 2022}, {"title": "B", "dblp_key": "b", "venue": "CVPR", "year": 1999},
+                       {"title": "C", "dblp_key": "c", "venue": "ECCV/CVPR", "year": 2023})
+    more = batch_of({"title": "A later", "dblp_key": "a", "venue": "CVPR", "year": 2023})
+    assert library.collect_grid(records, more) == 4
+    assert sorted((r.title, r.source_query) for r in library.papers().collect()) == [
+        ("A later", "CVPR:2023:openalex-crossref"), ("C", "ECCV:2023:openalex-crossref")]
+
+
 def test_doi_clash_refuses_the_batch(library, batch_of):
     library.upsert(batch_of({"title": "A", "dblp_key": "a", "doi": "10/1"}), refresh=False)
     with pytest.raises(ValueError, match="10/1"):
