@@ -28,6 +28,15 @@ def paper_tokens(papers: DataFrame, stop_words: Iterable[str] = STOP_WORDS) -> D
     return source.select(F.col("id").alias("paper_id"), *_CARRIED, tokens(document, stop_words).alias("tokens"))
 
 
+def tokenized(papers: DataFrame, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
+    """``paper_tokens`` as a stage table.
+
+    The token pattern is the dearest step per byte, so it runs once; the passes over
+    the corpus then read token columns, which compress well.
+    """
+    return staged(paper_tokens(papers, stop_words), "tokens")
+
+
 def counted(terms: Column, corpus: DataFrame) -> DataFrame:
     """``(term, n)`` over all rows of an array column; partial counts before the shuffle."""
     return one_per_row(corpus, terms, "term").groupBy("term").agg(F.count("*").alias("n"))
@@ -114,10 +123,10 @@ class WeightedCorpus:
 def weigh(papers: DataFrame, stop_words: Iterable[str] = STOP_WORDS, size: int = VOCABULARY_SIZE) -> WeightedCorpus:
     """Weigh the corpus: tf x (ln((1+n)/(1+df)) + 1), each paper scaled to length one.
 
-    The text is read three times (words, pairs, counts).  The sparse counts are written
-    once as a stage table; everything after reads that table and never shuffles it.
+    The staged tokens are read three times (words, pairs, counts).  The sparse counts are
+    staged too; everything after reads them and never shuffles them.
     """
-    corpus = paper_tokens(papers, stop_words)
+    corpus = tokenized(papers, stop_words)
     terms = sorted(term for term, _ in vocabulary(corpus, size))
     if not terms:
         empty = papers.sparkSession.createDataFrame([], "paper_id BIGINT, venue STRING, year INT, paper_type STRING")

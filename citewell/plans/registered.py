@@ -78,7 +78,7 @@ def conversation_token_df(spark, sf_dir):
 
 @query
 def vocab_4000(spark, sf_dir):
-    chosen = terms.vocabulary(terms.paper_tokens(papers(spark, sf_dir)))
+    chosen = terms.vocabulary(terms.tokenized(papers(spark, sf_dir)))
     return spark.createDataFrame(chosen, "term STRING, n BIGINT")
 
 
@@ -150,7 +150,7 @@ def trend_year_venue_axes(spark, sf_dir):
 
 @query
 def title_cased_terms(spark, sf_dir):
-    chosen = terms.vocabulary(terms.paper_tokens(papers(spark, sf_dir)))
+    chosen = terms.vocabulary(terms.tokenized(papers(spark, sf_dir)))
     return spark.createDataFrame(chosen, "term STRING, n BIGINT").select("term", text.title_case(F.col("term")).alias("label"))
 
 
