@@ -42,7 +42,8 @@ def best_start(
         pool = ThreadPool(min(parallelism, starts))
         models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(seed, seed + starts))
         pool.close()
-        return min(models, key=lambda m: m.summary.trainingCost)
+        # Starts that reach one optimum differ in the last digits only; the first of them wins.
+        return min(models, key=lambda m: float(f"{m.summary.trainingCost:.8e}"))
     finally:
         data.unpersist()
 

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from citewell.functions.text import blank
 from citewell.operators import catalog, collect, grid, keywords, match, search, trends
 from citewell.plans import refresh as derive
 from citewell.schemas import PAPERS
@@ -146,10 +147,10 @@ class Library:
         if not title.strip():
             raise ValueError("title is required")
         if isinstance(keywords, str):
-            keywords = keywords.split(",")
-        words = [k.strip() for k in keywords if k.strip()]
+            keywords = [k.strip() for k in keywords.split(",")]
+        words = [k for k in keywords if k.strip()]
         edit = self.spark.createDataFrame(
-            [(paper_id, title, venue, year, words)],
+            [(paper_id, title, venue or None, year, words)],
             "id BIGINT, title STRING, venue STRING, year INT, keywords ARRAY<STRING>",
         )
         if search.paper_by_id(self.papers(), paper_id).isEmpty():
@@ -174,6 +175,15 @@ class Library:
             self._save(catalog.set_abstracts(self.papers(), found))
         return changed
 
+    def backfill_venues(self, records: DataFrame) -> int:
+        """Fill missing venues from records of the same title; derived tables become stale."""
+        filled = match.backfill_venues(self.papers(), records)
+        named = F.count_if(~blank(F.col("venue")))
+        changed = filled.agg(named).first()[0] - self.papers().agg(named).first()[0]
+        if changed:
+            self._save(filled)
+        return changed
+
     def _replace(self, kept: DataFrame) -> int:
         removed = self.count() - kept.count()
         if removed:
@@ -206,6 +216,10 @@ class Library:
     def get_paper(self, paper_id: int) -> DataFrame:
         return search.paper_by_id(self.papers(), paper_id)
 
+    def backlog(self, limit: int = 200) -> DataFrame:
+        """Papers that lack an abstract, in the order to fill them."""
+        return search.missing_abstracts(self.papers(), limit)
+
     def search(self, query: str, exact: bool = False, limit: int = 20) -> DataFrame:
         return search.search(self.papers(), query, exact, limit)
 

@@ -84,6 +84,15 @@ def test_lookup_stores_what_a_source_answers(library, batch_of, spark):
     assert library.count() == 3
 
 
+def test_backfill_and_backlog(library, batch_of):
+    library.upsert(batch_of({"title": "Deep nets", "dblp_key": "a"}, {"title": "Other", "dblp_key": "b", "venue": "X"}), refresh=False)
+    assert [r.id for r in library.backlog().collect()] == [1, 2]
+    records = batch_of({"title": "DEEP  Nets", "venue": "Proc. ECCV", "year": 2024})
+    assert library.backfill_venues(records) == 1 and library.backfill_venues(records) == 0
+    row = library.get_paper(1).first()
+    assert (row.venue, row.year, library.is_stale()) == ("ECCV", 2024, True)
+
+
 def test_collect_grid_keeps_the_cell(library, batch_of):
     records = batch_of({"title": "A", "dblp_key": "a", "venue": "cvpr 2022", "year": 2022}, {"title": "B", "dblp_key": "b", "venue": "CVPR", "year": 1999},
                        {"title": "C", "dblp_key": "c", "venue": "ECCV/CVPR", "year": 2023})
