@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citewell.llm import bpe
+from citewell.llm import bpe, mixing, url_filter
 from citewell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,19 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Of op2: verdict, host and path.
+URL_RULES = (
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+)
+
+
+@query
+def op2_url_filter(spark, sf_dir):
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, model, URL_RULES).drop("url")
+
+
 @query
 def op7_bpe(spark, sf_dir):
     coded = bpe.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -32,3 +45,13 @@ def op7_bpe(spark, sf_dir):
         "doc_id", "n_tokens", F.sha2("packed_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixing.with_copies(docs).select("doc_id", "size", "source_size", "target", taken)
+
+
+SQL["op9_mixing"] = mixing.SQL
