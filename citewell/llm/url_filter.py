@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Lengths of the n-grams and the number of hashed features.
-GRAMS, FEATURES = (3, 4, 5), 1 << 14
+GRAMS, FEATURES = (3, 4, 5), 1 << 18
 
 #: Fixed values of the default labelled table: names that hosts to be blocked and allowed are made of.
 BLOCKED_NAMES = (
@@ -34,11 +34,15 @@ ALLOWED_NAMES = (
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """url, label (1: block): each name as a host in several shapes, with paths that say nothing."""
-    shapes = ("https://{}.example.com/en/{}", "http://www.{}.example.net/de/{}.html", "https://blog.{}.example.org/{}/?page=2", "http://m.{}.com/fr/{}#top")
+    """url, label (1: block): each name as a host in twelve shapes; a shape's path is the same for every name."""
+    ends = ("/en/728", "/de/25.html", "/fr/340?page=2", "/es/617#top")
+    shapes = [
+        f"{'http' if i % 2 else 'https'}://{front}{{}}.example.{last}{ends[(i + j) % 4]}"
+        for i, front in enumerate(("", "www.", "m.", "blog.")) for j, last in enumerate(("com", "net", "org"))
+    ]
     rows = [
-        (shape.format(name, 17 * i % 1000), float(label))
-        for label, names in ((1, BLOCKED_NAMES), (0, ALLOWED_NAMES)) for i, name in enumerate(names) for shape in shapes
+        (shape.format(name), label) for label, names in ((1.0, BLOCKED_NAMES), (0.0, ALLOWED_NAMES))
+        for name in names for shape in shapes
     ]
     return spark.createDataFrame(rows, "url string, label double").coalesce(1)
 
