@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import re
+
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -14,6 +18,12 @@ SPACES = r"\x20\x09-\x0D"
 #: A word is a longest run of anything else.
 WORD = rf"[^{SPACES}]+"
 
+# str.split() takes these for spaces, too; WORD does not.
+_OTHER_SPACES = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_WORDS = re.compile(WORD)
+# 64-bit factors of the places of a shingle's words.
+_PLACES = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1) + 0x7F4A7C15 * 2 * i) % (1 << 64) | 1 for i in range(16)], np.uint64)
+
 # Rows of a batch handed back to Spark, so that long texts don't pile up.
 _ROWS = 512
 
@@ -56,6 +66,39 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[..., tuple
     return map_batches(df, schema, of_batches)
 
 
-def halves(value: str) -> Column:
-    """A 63-bit whole number from an SQL expression, the same in every run."""
-    return F.expr(f"xxhash64({value}) & 9223372036854775807")
+def words_of(text: str) -> list[str]:
+    """The words of ``WORD``, inside Python."""
+    return _WORDS.findall(text) if _OTHER_SPACES.search(text) else text.split()
+
+
+def mix(values: np.ndarray) -> np.ndarray:
+    """Spread 64-bit numbers evenly (a one-to-one mapping)."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to a number of words."""
+
+    def __init__(self, remember: int = 300_000):
+        self.remember = remember
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.remember:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return value
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+    def shingles(self, words: list[str], n: int) -> np.ndarray:
+        """A hash for each ``n`` words in a row; for fewer words, one of them all; none without words."""
+        if not words:
+            return np.zeros(0, np.uint64)
+        hashes, n = self.of(words), min(n, len(words))
+        made = np.full(len(words) - n + 1, n, np.uint64)
+        for i in range(n):
+            made += hashes[i : len(hashes) - n + i + 1] * _PLACES[i]
+        return mix(made)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citewell.llm import bpe, mixing, url_filter
+from citewell.llm import bpe, fingerprint, language, mixing, quality, url_filter
 from citewell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,28 @@ def op2_url_filter(spark, sf_dir):
     return url_filter.judge(pages, model, URL_RULES).drop("url")
 
 
+def _fold(of: int):
+    """crc32 of the decimal doc_id, modulo ``of``."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of)), F.lit(-1))
+
+
+@query
+def op1_fingerprint(spark, sf_dir):
+    return fingerprint.compared_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(_fold(4) != 2))
+    return language.predict(docs, model).withColumn("held_out", _fold(4) == 2)
+
+
+@query
+def op6_quality(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_bpe(spark, sf_dir):
     coded = bpe.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary_path())
