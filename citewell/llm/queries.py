@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citewell.llm import bpe, fingerprint, language, mixing, quality, toxicity, url_filter
+from citewell.llm import bpe, fingerprint, jaccard_join, language, mixing, quality, toxicity, url_filter
 from citewell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def op4_language(spark, sf_dir):
     return language.predict(docs, model).withColumn("held_out", _fold(4) == 2)
 
 
+@query
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.link_groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
