@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citewell.llm import bpe, fingerprint, jaccard_join, language, mixing, quality, toxicity, url_filter
+from citewell.llm import bpe, fingerprint, jaccard_join, language, line_dedup, mixing, quality, toxicity, url_filter
 from citewell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op1_fingerprint(spark, sf_dir):
     return fingerprint.compared_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
