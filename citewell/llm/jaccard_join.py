@@ -197,9 +197,9 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
     about = nodes.select("node", F.struct("n", "small", "large").alias("it"))
 
     # Lowest nodes first.
-    heads = F.flatten(F.array(*[
-        F.transform(F.slice(f"p{i}", 1, _STARS), lambda t, i=i: F.struct(F.lit(i).alias("order"), t.alias("token"))) for i in range(3)
-    ]))
+    heads = F.expr("concat(" + ", ".join(
+        f"transform(slice(p{i}, 1, {_STARS}), t -> named_struct('order', {i}, 'token', t))" for i in range(len(_SALTS))
+    ) + ")")
     entries = nodes.select("node", F.explode(heads).alias("at")).select("node", "at.order", "at.token")
     lowest = entries.groupBy("order", "token").agg(F.min("node").alias("head"), F.max("node").alias("top")).where("head != top")
     offers = (

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citewell.llm import bpe, fingerprint, jaccard_join, language, line_dedup, mixing, quality, toxicity, url_filter
+from citewell.llm import bpe, fingerprint, jaccard_join, language, line_dedup, mixing, pii, quality, toxicity, url_filter
 from citewell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,18 @@ def op9_mixing(spark, sf_dir):
 
 
 SQL["op9_mixing"] = mixing.SQL
+
+
+@query
+def op10_pii(spark, sf_dir):
+    found = pii.spans_of(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count_of(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [count_of(kind) for kind in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

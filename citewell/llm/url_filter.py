@@ -74,16 +74,12 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tu
 def grams_of(host: Column, path: Column) -> Column:
     """Distinct character n-grams of host and path, told apart by their first letter."""
 
-    def grams(text: Column, mark: str) -> Column:
+    def grams(text: Column, mark: str, n: int) -> Column:
         framed = F.concat(F.lit("^"), text, F.lit("$"))
-        return F.flatten(F.array(*[
-            F.transform(
-                F.filter(F.sequence(F.lit(1), F.length(framed)), lambda i, n=n: i <= F.length(framed) - n + 1),
-                lambda i, n=n: F.concat(F.lit(mark), F.substring(framed, i, F.lit(n))),
-            ) for n in GRAMS
-        ]))
-
-    return F.array_distinct(F.concat(grams(host, "h"), grams(path, "p")))
+        places = F.when(F.length(framed) >= n, F.sequence(F.lit(1), F.length(framed) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.concat(F.lit(mark), F.substring(framed, i, F.lit(n))))
+
+    return F.array_distinct(F.concat(*[grams(text, mark, n) for text, mark in ((host, "h"), (path, "p")) for n in GRAMS]))
 
 
 def fit(labelled: DataFrame, url: str = "url", label: str = "label") -> PipelineModel:
