@@ -114,7 +114,7 @@ def _votes() -> dict[str, Column]:
             F.col("before").rlike(r"[=:][\x20]*[\"']?$"), F.col("before").rlike(r"[$€£#][\x20]?$") | F.col("after").rlike("^[%°.,]?[%°0-9]")
         ),
         "composition": _vote(letters & digits & (size >= 16), (size < 8) | ~letters & ~hit.rlike("[^0-9]")),
-        "variety": _vote(kinds >= 9, kinds <= 4),
+        "variety": _vote(letters & (kinds >= 9), kinds <= 4),
     }
 
 

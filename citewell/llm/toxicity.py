@@ -249,14 +249,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", column: str = "
     return train([r.text for r in rows], [r.mark for r in rows])
 
 
-def score(docs: DataFrame, network: Network | None, keep: tuple[str, ...] = ("doc_id",), column: str = "text") -> DataFrame:
-    """``keep`` and score (0 to 1) of every row: the highest of its windows.
+def score(
+    docs: DataFrame, network: Network | None, keep: tuple[str, ...] = ("doc_id",), column: str = "text", output: str = "score"
+) -> DataFrame:
+    """``keep`` and ``output``, the score (0 to 1) of every row: the highest of its windows.
 
     Null and empty texts and those without a word score 0, as does every text without a network.
     Repeated rows get equal scores; other columns are left out.
     """
     kinds = dict(docs.dtypes)
-    schema = "".join(f"`{k}` {kinds[k]}, " for k in keep) + "score double"
+    schema = "".join(f"`{k}` {kinds[k]}, " for k in keep) + f"`{output}` double"
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def start():
