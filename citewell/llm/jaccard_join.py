@@ -11,8 +11,8 @@ verified on the whole sets.
 * Which tokens are frequent is counted exactly among the lowest hashes of all documents, and
   goes to the tasks as a bitmap of fixed size.  Any set of tokens may come last; it decides
   cost, not results.
-* First every node is held against a few lowest nodes it shares a first token with, and what
-  links becomes one component.  After that only tokens shared by different components, and
+* First every node is held against the most central nodes it shares a first token with, and
+  what links becomes one component.  After that only tokens shared by different components, and
   only pairs across components, are looked at: a large group of near copies makes no pairs.
 * The parity of token hashes in 512 bits (4,096 for large sets) bounds the difference of two
   sets from below, inside the join, so hardly a pair comes out that doesn't link.
@@ -34,7 +34,7 @@ SHINGLE, NUMERATOR, DENOMINATOR = 3, 9, 10
 FREQUENT = 64
 #: Tokens counted of each set: the lowest sixth, and eight at least.
 _COUNTED, _COUNTED_LEAST = 6, 8
-#: First tokens of each order that look for a lowest node.
+#: First tokens of each order that look for a central node.
 _STARS = 4
 _SALTS = tuple(np.uint64(s) for s in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 _LOW = np.uint64((1 << 64) // _COUNTED)
@@ -126,7 +126,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
     wanted = bitmap(ends.select(F.expr(f"(node ^ coalesce(key, 0)) & {_BITS - 1}").alias("at")))
     sets = _sets(docs, wanted).join(ends.select("node", F.col("key").alias("__key")), "node")
-    sets = sets.where(F.col("key").eqNullSafe(F.col("__key"))).select("node", "tokens")
+    sets = staged(sets.where(F.col("key").eqNullSafe(F.col("__key"))).select("node", "tokens"), "jaccard-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b"
     )
@@ -196,21 +196,27 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
     )
     about = nodes.select("node", F.struct("n", "small", "large").alias("it"))
 
-    # Lowest nodes first.
+    # The most central node of each bucket first.
     heads = F.expr("concat(" + ", ".join(
         f"transform(slice(p{i}, 1, {_STARS}), t -> named_struct('order', {i}, 'token', t))" for i in range(len(_SALTS))
     ) + ")")
     entries = nodes.select("node", F.explode(heads).alias("at")).select("node", "at.order", "at.token")
-    lowest = entries.groupBy("order", "token").agg(F.min("node").alias("head"), F.max("node").alias("top")).where("head != top")
+    sizes = entries.groupBy("order", "token").count().where("count > 1")
+    crowded = staged(entries.join(sizes, ["order", "token"]), "jaccard-entries")
+    # Of a group of near copies, the one with fewest edits shares its first tokens with most others.
+    central = crowded.groupBy("node").agg(F.sum("count").alias("weight"))
+    chosen = crowded.join(central, "node").groupBy("order", "token").agg(F.max(F.struct("weight", "node")).alias("head"))
     offers = (
-        entries.join(lowest, ["order", "token"]).where("node != head")
-        .select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        crowded.join(chosen, ["order", "token"]).where("node != head.node")
+        .select(F.col("node").alias("a"), F.col("head.node").alias("b"), F.col("head.weight").alias("weight")).distinct()
     )
     offers = offers.join(about.select(F.col("node").alias("a"), F.col("it").alias("x")), "a").join(
         about.select(F.col("node").alias("b"), F.col("it").alias("y")), "b"
     ).where(_may_link("x", "y"))
     gap = F.expr("+".join(f"bit_count(x.small[{i}] ^ y.small[{i}])" for i in range(_SMALL // 64)))
-    offers = offers.groupBy("a").agg(F.min("b").alias("b"), F.min_by("b", F.struct(gap, "b")).alias("near"))
+    offers = offers.groupBy("a").agg(
+        F.max_by("b", F.struct("weight", "b")).alias("b"), F.min_by("b", F.struct(gap, "b")).alias("near")
+    )
     offers = staged(offers.select("a", F.explode(F.array_distinct(F.array("b", "near"))).alias("b")), "jaccard-offers")
     stars = staged(_verified(offers, docs, firsts), "jaccard-stars")
     grouped = staged(components(stars), "jaccard-groups")
