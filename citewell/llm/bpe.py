@@ -116,8 +116,8 @@ class Vocabulary:
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and where each word's ids begin (and the end).
 
-        Every fragment is merged by itself: in each round its lowest-ranked neighbours join,
-        the leftmost of equals; a fragment without neighbours to join is done.
+        Every fragment is merged by itself: in each round its lowest-ranked neighbours join;
+        a fragment without neighbours to join is done.
         """
         symbols, starts, begins = self.cut(words)
         ids, kept = self.symbol_ids[symbols], np.ones(len(symbols), bool)
@@ -131,8 +131,11 @@ class Vocabulary:
             sizes = np.diff([*heads, len(live)])
             best = np.repeat(np.minimum.reduceat(rank, heads), sizes)
             hits = np.flatnonzero((rank == best) & (best < _NEVER))
-            fragment = np.cumsum(first)[hits]
-            hits = hits[np.r_[True, fragment[1:] != fragment[:-1]]] if len(hits) else hits
+            # All equal pairs of a fragment join at once: what they make can only join later.
+            # Where they overlap, as in aaa, every second one does, from the left.
+            opens = np.r_[True, np.diff(hits) != 1] | first[hits]
+            turn = np.arange(len(hits)) - np.maximum.accumulate(np.where(opens, np.arange(len(hits)), 0)) if len(hits) else hits
+            hits = hits[turn % 2 == 0]
             ids[live[hits]] = joined[hits]
             kept[live[hits + 1]] = False
             stays = best < _NEVER
