@@ -62,11 +62,11 @@ def _matches(kind: str) -> Column:
     # Texts without the needed character are not searched at all.
     searched = F.col("text").contains(_NEEDS[kind]) if kind in _NEEDS else F.col("text").rlike("[0-9]")
     rows = F.transform(
-        F.arrays_zip(pieces.alias("piece"), hits.alias("hit")),
+        F.arrays_zip(pieces.alias("piece"), hits.alias("hit"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("next")),
         lambda x, i: F.struct(
             F.lit(kind).alias("kind"), i.alias("i"), F.length(x["piece"]).alias("gap"),
             F.when(F.lit(kind == _CANDIDATE), F.right(x["piece"], F.lit(24))).alias("before"), x["hit"].alias("hit"),
-            F.when(F.lit(kind == _CANDIDATE), F.left(F.get(pieces, i + 1), F.lit(2))).alias("after"),
+            F.when(F.lit(kind == _CANDIDATE), F.left(x["next"], F.lit(2))).alias("after"),
         ),
     )
     return F.when(searched, F.filter(rows, lambda x: x["hit"].isNotNull()))
@@ -201,10 +201,11 @@ def find(docs: DataFrame, key: str = "doc_id", column: str = "text") -> tuple[Da
         .where(F.when(F.col("base"), _valid()).otherwise(True))
     )
     # Candidates that touch a base span are not candidates.
-    around = Window.partitionBy("row").orderBy("start")
-    is_base = F.col("base")
-    last_end = F.max(F.when(is_base, F.col("end"))).over(around.rangeBetween(Window.unboundedPreceding, 0))
-    next_start = F.min(F.when(is_base, F.col("start"))).over(around.rangeBetween(0, Window.unboundedFollowing))
+    is_base, so_far = F.col("base"), (Window.unboundedPreceding, 0)
+    upwards = Window.partitionBy("row").orderBy("start").rangeBetween(*so_far)
+    downwards = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(*so_far)
+    last_end = F.max(F.when(is_base, F.col("end"))).over(upwards)
+    next_start = F.min(F.when(is_base, F.col("start"))).over(downwards)
     free = placed.withColumn("__last", last_end).withColumn("__next", next_start).where(
         is_base | ((F.coalesce("__last", F.lit(-1)) <= F.col("start")) & (F.coalesce("__next", F.col("end")) >= F.col("end")))
     )
