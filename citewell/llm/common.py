@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
+import functools
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,10 +95,60 @@ class WordHashes(dict):
 
     def shingles(self, words: list[str], n: int) -> np.ndarray:
         """A hash for each ``n`` words in a row; for fewer words, one of them all; none without words."""
-        if not words:
-            return np.zeros(0, np.uint64)
-        hashes, n = self.of(words), min(n, len(words))
-        made = np.full(len(words) - n + 1, n, np.uint64)
-        for i in range(n):
-            made += hashes[i : len(hashes) - n + i + 1] * _PLACES[i]
-        return mix(made)
+        return shingles_of(self.of(words), n)
+
+
+# One random 64-bit number for each byte, as it is and with A-Z in lower case; powers of an odd number and their inverses.
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_LOWER_BYTES = _BYTES[[b + 32 if 65 <= b <= 90 else b for b in range(256)]]
+_IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_BASE = 0xD1342543DE82EF95
+_PIECE = 1 << 20
+
+
+@functools.cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2**64."""
+    def of(base: int) -> np.ndarray:
+        factors = np.full(n, base, np.uint64)
+        factors[:1] = 1
+        return np.multiply.accumulate(factors)
+
+    return of(_BASE), of(pow(_BASE, -1, 1 << 64))
+
+
+def lower_word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash for each word (``WORD``) of a text, A-Z taken as a-z, from its bytes by running sums."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    made = []
+    at = 0
+    while at < len(raw):
+        piece = raw[at : at + _PIECE]
+        if at + _PIECE < len(raw):  # a piece ends with a space, or with the word that fills it
+            spaces = np.flatnonzero(_IS_SPACE[piece])
+            if len(spaces):
+                piece = piece[: spaces[-1] + 1]
+            else:
+                after = np.flatnonzero(_IS_SPACE[raw[at:]])
+                piece = raw[at : at + int(after[0]) + 1] if len(after) else raw[at:]
+        at += len(piece)
+        inside = np.zeros(len(piece) + 2, np.int8)
+        inside[1:-1] = ~_IS_SPACE[piece]
+        turns = np.diff(inside)
+        starts, ends = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+        powers, inverses = _powers(1 << max(len(piece) - 1, 1).bit_length())
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_LOWER_BYTES[piece] * powers[: len(piece)], out=sums[1:])
+        made.append(mix((sums[ends] - sums[starts]) * inverses[starts]))
+    return np.concatenate(made) if made else np.zeros(0, np.uint64)
+
+
+def shingles_of(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each ``n`` word hashes in a row; for fewer, one of them all; none without words."""
+    if not len(hashes):
+        return np.zeros(0, np.uint64)
+    n = min(n, len(hashes))
+    made = np.full(len(hashes) - n + 1, n, np.uint64)
+    for i in range(n):
+        made += hashes[i : len(hashes) - n + i + 1] * _PLACES[i]
+    return mix(made)

@@ -24,7 +24,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from citewell.llm.common import WordHashes, map_batches, mix, words_of
+from citewell.llm.common import lower_word_hashes, map_batches, mix, shingles_of
 from citewell.llm.components import components
 from citewell.session import staged
 
@@ -42,14 +42,9 @@ _BITS = 1 << 26
 _SMALL, _LARGE, _LARGE_FROM = 512, 4096, 900
 
 
-def _lower(text: str) -> str:
-    """A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-
-
-def token_set(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text; of fewer words, one of them all."""
-    return np.unique(hashes.shingles(words_of(_lower(text or "")), SHINGLE))
+def token_set(text: str | None) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a text, A-Z as a-z; of fewer words, one of them all."""
+    return np.unique(shingles_of(lower_word_hashes(text or ""), SHINGLE))
 
 
 def node_of(tokens: np.ndarray) -> int | None:
@@ -104,12 +99,12 @@ def _sets(docs: DataFrame, wanted) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def start():
-        hashes, known = WordHashes(), shared.value
+        known = shared.value
 
         def made(keys, texts):
             rows = []
             for key, text in zip(keys, texts):
-                tokens = token_set(text, hashes)
+                tokens = token_set(text)
                 if (node := node_of(tokens)) is not None:
                     at = np.uint64((node ^ (key or 0)) & (_BITS - 1))
                     if _has(known, at):
@@ -156,10 +151,8 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
     kind = dict(docs.dtypes)["key"]
 
     def start():
-        hashes = WordHashes()
-
         def made(keys, texts):
-            sets = [token_set(t, hashes) for t in texts]
+            sets = [token_set(t) for t in texts]
             low = [_signed(s[: max(len(s) // _COUNTED, _COUNTED_LEAST)]) for s in sets]
             return keys, [len(s) for s in sets], [node_of(s) for s in sets], low
 
@@ -173,12 +166,12 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
     last = docs.sparkSession.sparkContext.broadcast(bitmap(frequent.select(F.expr(f"token & {_BITS - 1}").alias("at"))))
 
     def start_prefixes():
-        hashes, late = WordHashes(), last.value
+        late = last.value
 
         def made(keys, texts):
             out = []
             for key, text in zip(keys, texts):
-                tokens = token_set(text, hashes)
+                tokens = token_set(text)
                 if n := len(tokens):
                     # Tokens of low hash were counted in most sets: they come first unless they are frequent.
                     rank = np.where(_has(late, _place(tokens)), 2, tokens >= _LOW)
