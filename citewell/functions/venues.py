@@ -27,7 +27,7 @@ def facet_venue(query: Column) -> Column:
 
 
 def facet_year(query: Column) -> Column:
-    return nonempty(F.regexp_extract(query, r"(?iU)\byear:(20\d{2})\b", 1)).cast("int")
+    return nonempty(F.regexp_extract(query, r"(?iU)\byear:(20[0-9]{2})\b", 1)).try_cast("int")
 
 
 def facet_text(query: Column) -> Column:
@@ -53,7 +53,7 @@ def path_venue(path: Column) -> Column:
 
 
 def path_year(path: Column) -> Column:
-    return nonempty(F.regexp_extract(path, r"(?U)(20\d{2})", 1)).cast("int")
+    return nonempty(F.regexp_extract(path, r"(?U)(20[0-9]{2})", 1)).try_cast("int")
 
 
 def file_title(name: Column) -> Column:

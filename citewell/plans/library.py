@@ -228,7 +228,7 @@ class Library:
 
     def keyword_papers(self, keyword: str, limit: object = 50) -> DataFrame:
         return keywords.papers_for_keyword(
-            self.derived().keyword_papers, self.papers(), keyword, search.parse_limit(limit)
+            self.derived().keyword_papers, self.papers(), keyword, search.page_size(limit)
         )
 
     def trends(self, keywords: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:

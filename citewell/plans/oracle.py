@@ -249,15 +249,13 @@ _CANONICAL = (
 )
 SQL["venue_backfill"] = f"""WITH {_PAPERS},
 known AS (SELECT title_normalized AS t, {_CANONICAL.format("['CVPR Workshops', 'Nowhere', 'Proc. eccv'][id % 3 + 1]")} AS v,
-    CAST(2010 + id % 10 AS INTEGER) AS y, id AS seq FROM papers
-  QUALIFY row_number() OVER (PARTITION BY title_normalized ORDER BY id) <= 3),
+    CAST(2010 + id % 10 AS INTEGER) AS y, id AS seq FROM papers),
 found AS (SELECT t, arg_min(v, seq) AS v, arg_min(y, seq) AS y FROM known WHERE v IS NOT NULL GROUP BY t)
 SELECT id, title, coalesce(venue, v) AS venue, CASE WHEN venue IS NULL THEN coalesce("year", y) ELSE "year" END AS "year"
 FROM papers LEFT JOIN found ON title_normalized = t"""
 SQL["venue_backfill_parts"] = f"""WITH known AS (
   SELECT p_name AS t, p_partkey AS seq, nullif(p_size, 0) AS y,
-    {_CANONICAL.format("['iccv 2023', 'none', '', 'CVPR'][CAST(split_part(p_brand, '#', 2) AS INTEGER) % 4 + 1]")} AS v FROM part
-  QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) <= 3),
+    {_CANONICAL.format("['iccv 2023', 'none', '', 'CVPR'][CAST(split_part(p_brand, '#', 2) AS INTEGER) % 4 + 1]")} AS v FROM part),
 found AS (SELECT t, arg_min(v, seq) AS v, arg_min(y, seq) AS y FROM known WHERE v IS NOT NULL GROUP BY t)
 SELECT p_partkey AS id, p_name, coalesce(v, '') AS venue, y AS "year" FROM part LEFT JOIN found ON p_name = t"""
 
@@ -284,11 +282,10 @@ _WORDS = f"list_distinct(list_filter(string_split({_key('title')}, ' '), lambda
 SQL["title_lookup"] = f"""WITH {_PAPERS},
 postings AS (SELECT id AS _seq, title, unnest({_WORDS}) AS word FROM papers WHERE trim(abstract) <> ''),
 spread AS (SELECT word, count(*) AS n FROM postings GROUP BY word),
-firsts AS (SELECT * FROM postings QUALIFY row_number() OVER (PARTITION BY word ORDER BY _seq) <= 3),
 wanted AS (SELECT id AS paper_id, title AS query, unnest({_WORDS}) AS word FROM papers WHERE abstract IS NULL OR trim(abstract) = ''),
 rarest AS (SELECT paper_id, query, word FROM wanted JOIN spread USING (word)
   QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY n, word) = 1)
-SELECT paper_id, query, _seq, title FROM rarest JOIN firsts USING (word)"""
+SELECT paper_id, query, _seq, title FROM rarest JOIN postings USING (word)"""
 SQL["grid_coverage"] = f"""WITH {_PAPERS},
 cells AS (SELECT venue, "year" FROM (VALUES {', '.join(f"('{v}', {y})" for v in CONFERENCES for y in YEARS)}) c(venue, "year"))
 SELECT c.venue, c."year", count(p.id) AS paper_count FROM cells c

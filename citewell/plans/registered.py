@@ -113,7 +113,7 @@ def keyword_link_table(spark, sf_dir):
 
 @query
 def drilldown(spark, sf_dir):
-    found = keywords.papers_for_keyword(_links(spark, sf_dir), papers(spark, sf_dir), DRILLDOWN_KEYWORD, search.parse_limit("250"))
+    found = keywords.papers_for_keyword(_links(spark, sf_dir), papers(spark, sf_dir), DRILLDOWN_KEYWORD, search.page_size("250"))
     return found.select("id", "title", "venue", "year")
 
 

@@ -25,8 +25,9 @@ def paper_rows(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def year_number(c: Column) -> Column:
-    """Whole year, null when missing, zero or not a number."""
-    return F.nullif(c.cast("string").try_cast("double").cast("int"), F.lit(0))
+    """Whole year, null when missing, zero or not a whole number of at most nine digits."""
+    text = F.regexp_extract(c.cast("string"), r"^\s*([+-]?[0-9]{1,9})(?:\.0*)?\s*$", 1)
+    return F.nullif(text.try_cast("int"), F.lit(0))
 
 
 def from_records(records: DataFrame) -> DataFrame:
