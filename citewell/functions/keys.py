@@ -33,11 +33,11 @@ def bare_doi(doi: Column) -> Column:
 
 
 def file_uri(path: Column) -> Column:
-    """Percent-encoded ``file://`` address of an absolute path."""
+    """Percent-encoded ``file://`` address of an absolute path; a path that has a scheme stays as it is."""
     encoded = F.url_encode(path)
     for escaped, plain in (("+", "%20"), ("*", "%2A"), ("%2F", "/"), ("%7E", "~")):
         encoded = F.replace(encoded, F.lit(escaped), F.lit(plain))
-    return F.concat(F.lit("file://"), encoded)
+    return F.when(path.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), path).otherwise(F.concat(F.lit("file://"), encoded))
 
 
 def dedup_identity(key: Column, doi: Column, title: Column) -> Column:

@@ -104,14 +104,20 @@ def doi_clashes(merged: DataFrame, batch: DataFrame) -> DataFrame:
     return key_violations(merged.join(touched, "doi", "left_semi"), "doi")
 
 
+def _one_per_id(edits: DataFrame, *columns: str) -> DataFrame:
+    row = F.struct(*columns)
+    order = F.col("_seq") if "_seq" in edits.columns else row
+    return edits.groupBy("id").agg(F.max_by(row, order).alias("it")).select("id", *[F.col(f"it.{c}").alias(c) for c in columns])
+
+
 def update_papers(papers: DataFrame, edits: DataFrame, fetched_at: Column | None = None) -> DataFrame:
-    """Apply edits ``(id, title, venue, year, keywords)``, one row per id.
+    """Apply edits ``(id, title, venue, year, keywords)``; of several for an id, the last by ``_seq`` or else by value counts.
 
     Venue and year may become null.  A blank title raises when the result is computed.
     """
     title = strip(F.col("title"))
     checked = F.when(F.coalesce(title, F.lit("")) == "", F.raise_error(F.lit("title is required")).cast("string"))
-    new = edits.select(
+    new = _one_per_id(edits, "title", "venue", "year", "keywords").select(
         F.col("id").alias("edit_id"),
         checked.otherwise(title).alias("new_title"),
         *[F.col(c).alias("new_" + c) for c in ("venue", "year", "keywords")],
@@ -128,8 +134,8 @@ def update_papers(papers: DataFrame, edits: DataFrame, fetched_at: Column | None
 
 
 def set_abstracts(papers: DataFrame, found: DataFrame) -> DataFrame:
-    """Set abstracts, and keywords where given, from ``(id, abstract, keywords)``."""
-    new = found.select(
+    """Set abstracts, and keywords where given, from ``(id, abstract, keywords)``; repeated ids as in ``update_papers``."""
+    new = _one_per_id(found, "abstract", "keywords").select(
         F.col("id").alias("found_id"), F.col("abstract").alias("new_abstract"), F.col("keywords").alias("new_keywords")
     )
     hit = F.col("found_id").isNotNull()
