@@ -160,6 +160,18 @@ def test_line_groups_equal_all_pairs(spark, docs_of):
     assert {(r.document, r.line) for r in got} == want
 
 
+def test_most_similar_lines_are_found(docs_of):
+    """Pairs of edit similarity 0.8 or more, whatever their SimHashes: nine in ten of one-letter edits are linked."""
+    rng = random.Random(9)
+    lines = []
+    for i in range(250):
+        words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(rng.randrange(8, 70))]
+        place = rng.randrange(len(words))
+        lines += [" ".join(words), " ".join([*words[:place], "z" + words[place][1:], *words[place + 1 :]])]
+    got = line_dedup.line_groups(docs_of(*[(i, t, None, None) for i, t in enumerate(lines)])).where("removed").collect()
+    assert all(r.key % 2 for r in got) and len(got) >= 0.9 * 250
+
+
 def test_removed_lines_of_odd_rows(odd, none):
     got = Counter((r.doc_id, r.n_lines, tuple(r.removed)) for r in line_dedup.removals(odd).collect())
     assert got[(5, 4, (1,))] == 2 and got[(6, 1, (0,))] == 1 and got[(1, 1, ())] == 1 and got[(3, 2, ())] == 1
