@@ -172,6 +172,16 @@ def test_most_similar_lines_are_found(docs_of):
     assert all(r.key % 2 for r in got) and len(got) >= 0.9 * 250
 
 
+def test_lines_of_any_length_take_part(docs_of, monkeypatch):
+    chinese = "這是一個沒有空格的段落而且它的內容很長所以應該只留下一次"
+    got = line_dedup.removals(docs_of((1, f"Home page\n---\n{chinese}", None, None), (2, f"home page!\n---\n{chinese}\n{chinese[:-1]}人", None, None)))
+    assert {r.doc_id: r.removed for r in got.collect()} == {1: [], 2: [0, 2, 3]}
+    lines = line_dedup._lines(docs_of((1, " ".join(f"w{i}" for i in range(500)), None, None)), "doc_id", "text")
+    whole = line_dedup._simhashes(lines).collect()
+    monkeypatch.setattr(line_dedup, "_TOGETHER", 64)
+    assert line_dedup._simhashes(lines).collect() == whole
+
+
 def test_removed_lines_of_odd_rows(odd, none):
     got = Counter((r.doc_id, r.n_lines, tuple(r.removed)) for r in line_dedup.removals(odd).collect())
     assert got[(5, 4, (1,))] == 2 and got[(6, 1, (0,))] == 1 and got[(1, 1, ())] == 1 and got[(3, 2, ())] == 1
