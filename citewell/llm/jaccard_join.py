@@ -1,8 +1,8 @@
 """N-gram Jaccard join with several global token orders.
 
 Two documents link when their sets of word shingles have a Jaccard similarity of
-``SIMILAR`` or more.  Under any order of all tokens, linked sets share a token among the
-first ``n - ceil(0.9 n) + 1`` of each.  Here three orders are used: tokens known to be
+a threshold or more, by default 0.9 on shingles of three words.  Under any order of all tokens, linked sets share a token among the
+first ``n - ceil(0.9 n) + 1`` of each (0.9 stands for the threshold asked for).  Here three orders are used: tokens known to be
 frequent come last, and within that the order is that of three different hashes.  Pairs
 are found by the prefix of the first order, must share one in the others too, and are then
 verified on the whole sets.
@@ -28,7 +28,7 @@ from citewell.llm.common import lower_word_hashes, map_batches, mix, shingles_of
 from citewell.llm.components import components
 from citewell.session import staged
 
-#: Shingles of three words; linked when 10 * common >= 9 * all.
+#: By default shingles of three words; linked when 10 * common >= 9 * all.
 SHINGLE, NUMERATOR, DENOMINATOR = 3, 9, 10
 #: A counted token of more sets than this comes last.
 FREQUENT = 64
@@ -42,9 +42,9 @@ _BITS = 1 << 26
 _SMALL, _LARGE, _LARGE_FROM = 512, 4096, 900
 
 
-def token_set(text: str | None) -> np.ndarray:
+def token_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text, A-Z as a-z; of fewer words, one of them all."""
-    return np.unique(shingles_of(lower_word_hashes(text or ""), SHINGLE))
+    return np.unique(shingles_of(lower_word_hashes(text or ""), shingle))
 
 
 def node_of(tokens: np.ndarray) -> int | None:
@@ -52,8 +52,8 @@ def node_of(tokens: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) if len(tokens) else None
 
 
-def prefix_length(n: int) -> int:
-    return n - -(-NUMERATOR * n // DENOMINATOR) + 1
+def prefix_length(n: int, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> int:
+    return n - -(-numerator * n // denominator) + 1
 
 
 def parity(tokens: np.ndarray, bits: int) -> list[int]:
@@ -62,9 +62,9 @@ def parity(tokens: np.ndarray, bits: int) -> list[int]:
     return np.packbits(odd, bitorder="little").view("<i8").tolist()
 
 
-def prefixes(tokens: np.ndarray, last: np.ndarray) -> list[list[int]]:
+def prefixes(tokens: np.ndarray, last: np.ndarray, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> list[list[int]]:
     """The first tokens of each order; ``last`` marks the tokens that come last."""
-    p = prefix_length(len(tokens))
+    p = prefix_length(len(tokens), numerator, denominator)
     out = []
     for salt in _SALTS:
         hashed = mix(tokens ^ salt) if salt else tokens
@@ -94,7 +94,7 @@ def _signed(tokens: np.ndarray) -> list[int]:
     return tokens.view(np.int64).tolist()
 
 
-def _sets(docs: DataFrame, wanted) -> DataFrame:
+def _sets(docs: DataFrame, wanted, shingle: int) -> DataFrame:
     """key, node, tokens of the documents at places of a bitmap of node and key."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
@@ -104,7 +104,7 @@ def _sets(docs: DataFrame, wanted) -> DataFrame:
         def made(keys, texts):
             rows = []
             for key, text in zip(keys, texts):
-                tokens = token_set(text)
+                tokens = token_set(text, shingle)
                 if (node := node_of(tokens)) is not None:
                     at = np.uint64((node ^ (key or 0)) & (_BITS - 1))
                     if _has(known, at):
@@ -116,23 +116,23 @@ def _sets(docs: DataFrame, wanted) -> DataFrame:
     return map_batches(docs, f"key {dict(docs.dtypes)['key']}, node long, tokens array<long>", start)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, shingle: int, numerator: int, denominator: int) -> DataFrame:
     """The pairs (a, b) of nodes that link, by their whole sets."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
     wanted = bitmap(ends.select(F.expr(f"(node ^ coalesce(key, 0)) & {_BITS - 1}").alias("at")))
-    sets = _sets(docs, wanted).join(ends.select("node", F.col("key").alias("__key")), "node")
+    sets = _sets(docs, wanted, shingle).join(ends.select("node", F.col("key").alias("__key")), "node")
     sets = staged(sets.where(F.col("key").eqNullSafe(F.col("__key"))).select("node", "tokens"), "jaccard-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b"
     )
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(DENOMINATOR * common >= NUMERATOR * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
+    return both.where(denominator * common >= numerator * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
 
 
-def _may_link(x: str, y: str) -> Column:
-    """Whether sizes and parities of two nodes leave room for a link: the difference is at most 1/19 of both sizes."""
+def _may_link(x: str, y: str, numerator: int, denominator: int) -> Column:
+    """Whether sizes and parities of two nodes leave room for a link: the difference is at most 1/19 of both sizes for 0.9."""
     gap = " + ".join(f"bit_count({x}.small[{i}] ^ {y}.small[{i}])" for i in range(_SMALL // 64))
-    whole, apart = f"({x}.n + {y}.n)", DENOMINATOR + NUMERATOR
+    whole, apart = f"{denominator - numerator} * ({x}.n + {y}.n)", denominator + numerator
     large = f"aggregate(zip_with({x}.large, {y}.large, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
     return F.expr(
         f"{apart} * abs({x}.n - {y}.n) <= {whole} and {apart} * ({gap}) <= {whole}"
@@ -140,9 +140,13 @@ def _may_link(x: str, y: str) -> Column:
     )
 
 
-def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+def link_groups(
+    docs: DataFrame, key: str = "doc_id", column: str = "text",
+    shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR,
+) -> DataFrame:
     """key, n_shingles and component_id of every row: the smallest key that links reach, its own included.
 
+    Shingles have ``shingle`` words, and sets of Jaccard similarity ``numerator / denominator`` or more link.
     Null and empty texts have no shingles and link with nothing; equal texts link.  Repeated rows
     stay and link by their texts; a null key is never the smallest while another is there.  An
     empty table gives an empty one; other columns are left out.
@@ -152,7 +156,7 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
 
     def start():
         def made(keys, texts):
-            sets = [token_set(t) for t in texts]
+            sets = [token_set(t, shingle) for t in texts]
             low = [_signed(s[: max(len(s) // _COUNTED, _COUNTED_LEAST)]) for s in sets]
             return keys, [len(s) for s in sets], [node_of(s) for s in sets], low
 
@@ -171,12 +175,12 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
         def made(keys, texts):
             out = []
             for key, text in zip(keys, texts):
-                tokens = token_set(text)
+                tokens = token_set(text, shingle)
                 if n := len(tokens):
                     # Tokens of low hash were counted in most sets: they come first unless they are frequent.
                     rank = np.where(_has(late, _place(tokens)), 2, tokens >= _LOW)
                     large = parity(tokens, _LARGE) if n >= _LARGE_FROM else None
-                    out.append((key, node_of(tokens), n, parity(tokens, _SMALL), large, *prefixes(tokens, rank)))
+                    out.append((key, node_of(tokens), n, parity(tokens, _SMALL), large, *prefixes(tokens, rank, numerator, denominator)))
             return tuple(zip(*out)) if out else ((),) * 8
 
         return made
@@ -205,13 +209,13 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
     )
     offers = offers.join(about.select(F.col("node").alias("a"), F.col("it").alias("x")), "a").join(
         about.select(F.col("node").alias("b"), F.col("it").alias("y")), "b"
-    ).where(_may_link("x", "y"))
+    ).where(_may_link("x", "y", numerator, denominator))
     gap = F.expr("+".join(f"bit_count(x.small[{i}] ^ y.small[{i}])" for i in range(_SMALL // 64)))
     offers = offers.groupBy("a").agg(
         F.max_by("b", F.struct("weight", "b")).alias("b"), F.min_by("b", F.struct(gap, "b")).alias("near")
     )
     offers = staged(offers.select("a", F.explode(F.array_distinct(F.array("b", "near"))).alias("b")), "jaccard-offers")
-    stars = staged(_verified(offers, docs, firsts), "jaccard-stars")
+    stars = staged(_verified(offers, docs, firsts, shingle, numerator, denominator), "jaccard-stars")
     grouped = staged(components(stars), "jaccard-groups")
 
     # What is left: pairs across components.
@@ -222,14 +226,14 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
     x, y = open_rows.alias("x"), open_rows.alias("y")
     across = x.join(
         y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-        & (F.col("x.node") < F.col("y.node")) & _may_link("x.it", "y.it")
+        & (F.col("x.node") < F.col("y.node")) & _may_link("x.it", "y.it", numerator, denominator)
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     orders = nodes.select("node", F.struct("p1", "p2").alias("o"))
     across = across.join(orders.select(F.col("node").alias("a"), F.col("o").alias("oa")), "a").join(
         orders.select(F.col("node").alias("b"), F.col("o").alias("ob")), "b"
     ).where("arrays_overlap(oa.p1, ob.p1) and arrays_overlap(oa.p2, ob.p2)").select("a", "b")
     across = staged(across, "jaccard-across")
-    links = stars.unionByName(_verified(across, docs, firsts))
+    links = stars.unionByName(_verified(across, docs, firsts, shingle, numerator, denominator))
     final = components(links)
 
     smallest = firsts.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -240,12 +244,16 @@ def link_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
     )
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", column: str = "text",
+    shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR,
+) -> DataFrame:
     """The rows of ``docs`` but for those linked to a row of smaller key; one row for each key.
 
     Rows without a key are not compared and stay.
     """
-    kept = link_groups(docs.where(F.col(key).isNotNull()), key, column).where(F.col(key) == F.col("component_id"))
+    groups = link_groups(docs.where(F.col(key).isNotNull()), key, column, shingle, numerator, denominator)
+    kept = groups.where(F.col(key) == F.col("component_id"))
     kept = kept.select(F.col(key).alias("__kept")).distinct()
     once = Window.partitionBy(key).orderBy(F.xxhash64(column))
     stays = docs.join(kept, F.col(key) == F.col("__kept"), "left_semi").withColumn("__turn", F.row_number().over(once))

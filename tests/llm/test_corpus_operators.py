@@ -92,6 +92,22 @@ def test_groups_equal_all_pairs(docs_of):
     assert {tuple(r) for r in got} == brute_groups(rows) and len(got) == len(rows)
 
 
+def test_pipeline_drops_near_copies_of_five_words(spark, docs_of):
+    import corpus_pipeline
+
+    def alike(x, y, n):
+        x, y = ({tuple(t.split()[i : i + n]) for i in range(len(t.split()) - n + 1)} for t in (x, y))
+        return len(x & y) / len(x | y)
+
+    words = [f"w{i}" for i in range(200)]
+    near = ["edit" if i in (40, 90, 140, 180) else w for i, w in enumerate(words)]
+    far = ["far" if i % 20 == 0 else w for i, w in enumerate(words)]
+    texts = ["\n".join(" ".join(w[i : i + 10]) for i in range(0, 200, 10)) for w in (words, near, far)]
+    assert alike(*texts[:2], 5) >= 0.8 and alike(*texts[:2], 3) < 0.9 and alike(texts[0], texts[2], 5) < 0.8 and alike(*texts[1:], 5) < 0.8
+    docs = docs_of(*[(i, t, None, None) for i, t in enumerate(texts)])
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == {0, 2}
+
+
 def test_groups_of_odd_rows(odd, none):
     got = Counter((r.doc_id, r.component_id) for r in jaccard_join.link_groups(odd).collect())
     assert got[(5, 5)] == 2 and got[(None, None)] == 1 and got[(1, 1)] == 1 and sum(got.values()) == len(ODD)
