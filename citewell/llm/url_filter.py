@@ -33,17 +33,36 @@ ALLOWED_NAMES = (
 ).split()
 
 
-def labelled_urls(spark: SparkSession) -> DataFrame:
-    """url, label (1: block): each name as a host in twelve shapes; a shape's path is the same for every name."""
+#: Names that say nothing of their own, for hosts whose evidence is in the path.
+NEUTRAL_NAMES = "neutral home alpha delta omega north station corner".split()
+
+
+def labelled_urls(
+    spark: SparkSession, blocked: Sequence[str] = BLOCKED_NAMES, allowed: Sequence[str] = ALLOWED_NAMES
+) -> DataFrame:
+    """url, label (1: block): each name as a host in twelve shapes, and in the path of four neutral hosts.
+
+    The shapes of hosts have the same paths for both labels.  Then come allowed hosts with blocked
+    words in the path (block), and blocked hosts with allowed words (block).
+    """
     ends = ("/en/728", "/de/25.html", "/fr/340?page=2", "/es/617#top")
     shapes = [
         f"{'http' if i % 2 else 'https'}://{front}{{}}.example.{last}{ends[(i + j) % 4]}"
         for i, front in enumerate(("", "www.", "m.", "blog.")) for j, last in enumerate(("com", "net", "org"))
     ]
     rows = [
-        (shape.format(name), label) for label, names in ((1.0, BLOCKED_NAMES), (0.0, ALLOWED_NAMES))
-        for name in names for shape in shapes
+        (shape.format(name), label) for label, names in ((1.0, blocked), (0.0, allowed)) for name in names for shape in shapes
     ]
+    paths = ("/{}/", "/{}/25.html", "/en/{}-728", "/a/best-{}")
+    for label, names in ((1.0, blocked), (0.0, allowed)):
+        for n, name in enumerate(names):
+            for i, path in enumerate(paths):
+                host = NEUTRAL_NAMES[(n + i) % len(NEUTRAL_NAMES)]
+                rows.append((f"https://{('', 'www.', 'blog.', 'm.')[(n + i) % 4]}{host}.example.{('com', 'net', 'org')[n % 3]}{path.format(name)}", label))
+    for n, name in enumerate(blocked):
+        other = allowed[n % len(allowed)]
+        rows.append((f"https://www.{other}.example.{('com', 'net', 'org')[n % 3]}{paths[n % 4].format(name)}", 1.0))
+        rows.append((f"https://www.{name}.example.{('com', 'net', 'org')[n % 3]}{paths[n % 4].format(other)}", 1.0))
     return spark.createDataFrame(rows, "url string, label double").coalesce(1)
 
 

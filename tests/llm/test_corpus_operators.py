@@ -278,6 +278,25 @@ def test_url_model_tells_names_apart(spark):
     assert all((r.verdict == "block") == bool(r.bad) for r in url_filter.judge(asked, model).collect())
 
 
+def test_url_model_learns_from_paths(spark):
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    asked = spark.createDataFrame([
+        ("https://blog.neutral.org/casino/free-slots", 1), ("https://www.station.net/a/cheap-viagra-pills", 1), ("https://www.library.net/porn/", 1),
+        ("https://blog.neutral.org/garden/birds", 0), ("https://www.station.net/en/history-museum", 0),
+    ], "url string, bad int")
+    got = {r.url: r.verdict for r in url_filter.judge(asked, model).collect()}
+    assert got == {r.url: "block" if r.bad else "allow" for r in asked.collect()}
+    # Words that the model has not seen: every fifth name is held out, and asked for in a path.
+    held = [(name, bad) for bad, names in ((1, url_filter.BLOCKED_NAMES), (0, url_filter.ALLOWED_NAMES)) for name in names[::5]]
+    seen = [[n for i, n in enumerate(names) if i % 5] for names in (url_filter.BLOCKED_NAMES, url_filter.ALLOWED_NAMES)]
+    model = url_filter.fit(url_filter.labelled_urls(spark, *seen))
+    asked = spark.createDataFrame([(f"https://{where.format(n)}", bad) for n, bad in held for where in ("www.corner.net/{}/7", "{}.net/en/7")], "url string, bad int")
+    rows = url_filter.judge(asked, model).collect()
+    right = sum((r.verdict == "block") == bool(r.bad) for r in rows)
+    print("held out:", right, "of", len(rows), "blocked found:", sum(r.verdict == "block" and r.bad for r in rows), "of", sum(r.bad for r in rows))
+    assert right > len(rows) / 2
+
+
 # Toxicity
 
 
