@@ -131,3 +131,19 @@ def test_stream_import_merges_each_batch_once(spark, tmp_path, library):
     run("cp-lost")
     assert library.version() == before and library.count() == 3
     assert set(PAPER_IN.names) - {"_seq"} <= set(library.papers().columns)
+
+
+def test_second_stream_of_a_source_is_merged(spark, tmp_path, library):
+    def run(folder, checkpoint, *titles):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        for title in titles:
+            (tmp_path / folder / f"{title}.json").write_text(json.dumps({"title": title, "dblp_key": title, "_seq": 0}))
+        stream = paper_stream(spark, str(tmp_path / folder))
+        start_import(stream, library, str(tmp_path / checkpoint), "feed", refresh_every=0).awaitTermination()
+
+    run("a", "cp", "One")
+    run("b", "cp-b", "Two")
+    assert {r.title for r in library.papers().collect()} == {"One", "Two"}
+    # A fresh checkpoint over one more file: its first batch holds both files.
+    run("a", "cp-fresh", "Three")
+    assert {r.title for r in library.papers().collect()} == {"One", "Two", "Three"}
