@@ -162,9 +162,12 @@ def purge_source(papers: DataFrame, source_query: str) -> DataFrame:
 
 
 def fill_venues(papers: DataFrame) -> DataFrame:
-    """Give rows without a venue the conferences in turn, by id; other rows are untouched."""
+    """Give rows without a venue the conferences in turn, by id; other rows are untouched.
+
+    Ids alone are sorted and numbered.
+    """
     missing = blank(F.col("venue"))
-    turn = F.expr("(row_index - 1) % 3")
-    name = F.element_at(F.array(*[F.lit(c) for c in CONFERENCES]), (turn + 1).cast("int"))
-    filled = with_row_index(papers.where(missing), ["id"]).withColumn("venue", name)
-    return papers.where(~missing).unionByName(filled.drop("row_index"))
+    numbered = with_row_index(papers.where(missing).select("id"), ["id"], "_turn", start=0)
+    name = F.element_at(F.array(*[F.lit(c) for c in CONFERENCES]), (F.col("_turn") % len(CONFERENCES) + 1).cast("int"))
+    filled = papers.where(missing).drop("venue").join(numbered.select("id", name.alias("venue")), "id")
+    return papers.where(~missing).unionByName(filled)
