@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citewell.llm import bpe, fingerprint, jaccard_join, language, line_dedup, mixing, pii, quality, toxicity, url_filter
+from citewell.llm import (
+    bpe, byte_bpe, fingerprint, hard_negatives, jaccard_join, language, line_dedup, merkle, mixing, pii, quality, toxicity, url_filter,
+)
 from citewell.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +27,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def ranks_path_and_pattern() -> tuple[str, str]:
+    """The byte vocabulary's file and its pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 #: Of op2: verdict, host and path.
 URL_RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
@@ -110,3 +119,28 @@ def op10_pii(spark, sf_dir):
     base = F.filter("spans", lambda s: s["base"])
     counts = [count_of(kind) for kind in pii.KINDS[:4]]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+SQL["op11_hard_negatives"] = hard_negatives.SQL
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    return merkle.checked_manifest(table(spark, sf_dir, "documents"), _fold(7) == 0)
+
+
+SQL["op12_merkle"] = merkle.SQL
+
+
+@query
+def op13_byte_bpe(spark, sf_dir):
+    coded = byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), *ranks_path_and_pattern())
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", "n_tokens", F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
