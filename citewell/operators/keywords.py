@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citewell.functions.text import casefold, strip
 from citewell.functions.tokens import one_per_row
-from citewell.operators.search import all_papers
+from citewell.operators.search import MOST_ROWS, all_papers, newest_first, page_size
 from citewell.operators.terms import WeightedCorpus, entries, looked_up
 
 # Ranked keywords kept, and terms kept per paper vector.
@@ -58,7 +58,9 @@ def paper_vector(corpus: WeightedCorpus, weights: Column, kept: int = VECTOR_TER
     )
 
 
-def papers_for_keyword(links: DataFrame, papers: DataFrame, keyword: str, limit: int = 50) -> DataFrame:
-    """Newest papers linked to a keyword."""
+def papers_for_keyword(links: DataFrame, papers: DataFrame, keyword: str, asked: object = 50) -> DataFrame:
+    """Newest papers linked to a keyword, as many as ``page_size`` makes of the asked number."""
     wanted = links.where(F.col("keyword") == strip(casefold(F.lit(keyword)))).select(F.col("paper_id").alias("id"))
-    return all_papers(papers.join(wanted, "id", "left_semi").select(*papers.columns), limit)
+    shown = all_papers(papers.join(wanted, "id", "left_semi").select(*papers.columns), MOST_ROWS)
+    place = F.row_number().over(Window.orderBy(*newest_first()))  # over MOST_ROWS rows
+    return shown.withColumn("_place", place).where(F.col("_place") <= page_size(F.lit(asked))).drop("_place")

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citewell.functions.text import blank, json_text, normalize_title
-from citewell.functions.tokens import in_list, one_per_row
+from citewell.functions.tokens import one_per_row
 from citewell.functions.venues import facet_text, facet_venue, facet_year, facets_match
 from citewell.functions.vocab import CONFERENCES
-from citewell.session import spread
+from citewell.session import spread, staged
 
 # Separates the searchable fields of a paper in one text; never part of a query.
 _FIELD_BREAK = "\x01"
 
-# Queries are located by a piece of this many characters, or fewer when shorter.
-_ANCHOR = 5
+# Queries are located by a gram of this many characters, or fewer when shorter.
+_GRAM = 5
 
-# So many distinct anchors are passed to the tasks as constants; beyond that they are joined.
-_INLINE_ANCHORS = 2000
+# Fixed value: most rows of a page.
+MOST_ROWS = 100
 
 
 def newest_first() -> list[Column]:
@@ -50,6 +48,16 @@ def like_pattern(text: Column) -> Column:
     return F.concat(F.lit("%"), F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
 
 
+def wildcard_regex(text: Column) -> Column:
+    """A pattern that finds what ``like_pattern`` finds.
+
+    LIKE takes time with the square of a pattern's length if the pattern is a column; this does not.
+    """
+    plain = F.regexp_replace(text, r"([^\p{L}\p{N}%_])", r"\\$1")
+    parts = F.replace(F.replace(plain, F.lit("%"), F.lit(".*?")), F.lit("_"), F.lit("."))
+    return F.concat(F.lit("(?s)"), parts)
+
+
 def _any(conditions: list[Column]) -> Column:
     first, *rest = conditions
     for c in rest:
@@ -88,16 +96,18 @@ def parsed_queries(queries: DataFrame, facets: bool = True) -> DataFrame:
     )
 
 
-def anchored_queries(queries: DataFrame, facets: bool = True) -> DataFrame:
-    """Parsed queries with ``anchor``, the start of the longest wildcard-free piece, and ``wild``."""
+def located_queries(queries: DataFrame, facets: bool = True) -> DataFrame:
+    """Parsed queries with ``piece``, the longest part without wildcards, ``wild``, and ``least``: the
+    characters that a text without any such part asks for."""
     pieces = F.transform(
         F.split("text", "[%_]"), lambda p: F.struct((-F.length(p)).alias("rank"), p.alias("piece"))
     )
-    longest = F.element_at(F.sort_array(pieces), 1)["piece"]
+    underscores = F.length("text") - F.length(F.replace("text", F.lit("_"), F.lit("")))
     return (
         parsed_queries(queries, facets)
-        .withColumn("anchor", F.substring(longest, 1, _ANCHOR))
+        .withColumn("piece", F.element_at(F.sort_array(pieces), 1)["piece"])
         .withColumn("wild", F.col("text").rlike("[%_]"))
+        .withColumn("least", F.when(F.col("piece") == "", underscores))
     )
 
 
@@ -109,55 +119,99 @@ def text_pieces(text: Column, lengths: list[int]) -> Column:
     return F.array_distinct(F.concat(*[pieces(n) for n in lengths]))
 
 
-def query_matches(
-    papers: DataFrame, queries: DataFrame, facets: bool = True, inline_anchors: int = _INLINE_ANCHORS
-) -> DataFrame:
-    """All (query, paper) matches for a table of queries, without pairing everything.
-
-    A paper offers the pieces of its searchable text that have the length of some
-    query's anchor; queries and papers meet in an equi-join on the piece, and the full
-    condition is checked on what meets.  A query with no literal text has the empty
-    anchor, which every paper offers.
-
-    Up to ``inline_anchors`` distinct anchors are tested inside the row, so only pieces
-    that some query wants are exploded and the catalog is not shuffled.  With more, bare
-    ``(id, piece)`` rows are joined first, and the papers that met are looked up by id.
-    """
-    asked = anchored_queries(queries, facets)
-    lengths = sorted(r[0] for r in asked.select(F.length("anchor")).distinct().collect())  # at most six
-    anchors = [r[0] for r in asked.select("anchor").distinct().limit(inline_anchors + 1).collect()]
-
+def _fields_of(papers: DataFrame) -> DataFrame:
+    """What a match looks at: the four texts, all of them in one, and the length of the longest."""
     title, venue, key, words = search_fields()
     narrow = papers.select("id", "title", "title_normalized", "year", "venue", "dblp_key", "keywords")
     named = spread(narrow, "id").select(
         "id", "title", "title_normalized", "year", "venue",
         venue.alias("f_venue"), key.alias("f_key"), words.alias("f_words"),
-    ).withColumn("hay", F.concat_ws(_FIELD_BREAK, "title_normalized", "f_venue", "f_key", "f_words"))
-    pieces = text_pieces(F.col("hay"), lengths or [0])
-    if len(anchors) <= inline_anchors:
-        wanted = named.withColumn("pieces", pieces)
-        if anchors:
-            wanted = wanted.withColumn("pieces", F.expr(f"filter(pieces, p -> {in_list('p', anchors)})"))
-        met = one_per_row(wanted, F.col("pieces"), "anchor", *named.columns).join(asked, "anchor")
-    else:
-        offered = one_per_row(named, pieces, "anchor", "id")
-        met = offered.join(asked, "anchor").join(named, "id")
-
-    pattern = like_pattern(F.col("text"))
-    by_field = _any([F.like(F.col(c), pattern) for c in ("title_normalized", "f_venue", "f_key", "f_words")])
-    text_ok = F.when(F.col("wild"), by_field).otherwise(F.contains(F.col("hay"), F.col("text")))
+    )
+    fields = ("title_normalized", "f_venue", "f_key", "f_words")
+    return named.withColumn("hay", F.concat_ws(_FIELD_BREAK, *fields)).withColumn("longest", F.greatest(*map(F.length, fields)))
+
+
+_FOUND = ("query_id", "id", "title", "year", "venue")
+
+
+def _by_text(fields: DataFrame, asked: DataFrame) -> DataFrame:
+    """Matches of the queries with a literal part, through an inverted index of its grams.
+
+    Papers offer the grams that some query asks for.  Each text is looked up by the one of its
+    grams that fewest papers have, and the full condition is checked on what meets.
+    """
+    whole = F.regexp_extract_all("piece", F.lit(f"(?s)(?=(.{{{_GRAM}}}))"), F.lit(1))
+    grams = F.when(F.length("piece") <= _GRAM, F.array("piece")).otherwise(F.array_distinct(whole))
+    texts = one_per_row(asked.select("text", "piece").distinct(), grams, "gram", "text")
+    texts = staged(texts, "asked-grams")
+    lengths = sorted(r[0] for r in texts.select(F.length("gram")).distinct().collect())  # at most five
+    pieces = text_pieces(F.col("hay"), lengths or [_GRAM])
+    offered = one_per_row(fields, pieces, "gram", "id").join(texts.select("gram").distinct(), "gram", "left_semi")
+    offered = staged(offered, "offered-grams")
+    counts = offered.groupBy("gram").agg(F.count("*").alias("n"))
+    rarity = F.struct(F.coalesce("n", F.lit(0)), "gram")
+    rarest = texts.join(counts, "gram", "left").groupBy("text").agg(F.min_by("gram", rarity).alias("gram"))
+    met = staged(rarest.join(offered, "gram").select("text", "id"), "met")
+
+    def checked(wild: bool, condition: Column) -> DataFrame:
+        return met.where(F.col("text").rlike("[%_]") == wild).join(fields, "id").where(condition)
+
+    pattern = wildcard_regex(F.col("text"))
+    by_field = _any([F.rlike(F.col(c), pattern) for c in ("title_normalized", "f_venue", "f_key", "f_words")])
+    hits = checked(False, F.contains(F.col("hay"), F.col("text"))).unionByName(checked(True, by_field))
+    hits = hits.select("text", "id", "title", "year", "venue")
     facets_ok = facets_match(F.col("want_venue"), F.col("want_year"), F.col("venue"), F.col("year"))
-    return met.where(text_ok & facets_ok).select("query_id", "id", "title", "year", "venue")
+    return hits.join(asked, "text").where(facets_ok).select(*_FOUND)
+
+
+def _by_facets(fields: DataFrame, asked: DataFrame) -> DataFrame:
+    """Matches of the queries with facets alone: an equi-join on conference and year."""
+    named = F.array_compact(F.array(*[
+        F.when(facets_match(F.lit(name), F.lit(None).cast("int"), F.col("venue"), F.col("year")), name) for name in CONFERENCES
+    ]))
+    open_too = lambda values: F.concat(values, F.array(F.lit(None)))
+    years = F.array_distinct(open_too(F.array("year")))
+    cells = F.flatten(F.transform(open_too(named), lambda v: F.transform(years, lambda y: F.struct(v.alias("v"), y.alias("y")))))
+    offered = fields.select("id", "title", "year", "venue", "longest", F.explode(cells).alias("cell"))
+    same = F.col("want_venue").eqNullSafe(F.col("cell.v")) & F.col("want_year").eqNullSafe(F.col("cell.y"))
+    return offered.where("cell.v IS NOT NULL OR cell.y IS NOT NULL").join(asked, same).where("longest >= least").select(*_FOUND)
+
+
+def _parted(papers: DataFrame, queries: DataFrame, facets: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fields of the papers, their matches by text or facets, and the queries that ask for neither."""
+    fields, asked = staged(_fields_of(papers), "search-fields"), staged(located_queries(queries, facets), "asked-queries")
+    faceted = (F.col("piece") == "") & (F.col("want_venue").isNotNull() | F.col("want_year").isNotNull())
+    found = _by_text(fields, asked.where("piece <> ''")).unionByName(_by_facets(fields, asked.where(faceted)))
+    return fields, found, asked.where((F.col("piece") == "") & ~faceted).select("query_id", "least")
+
+
+def query_matches(papers: DataFrame, queries: DataFrame, facets: bool = True) -> DataFrame:
+    """All (query, paper) matches for a table of queries, without pairing everything.
+
+    Queries meet papers by the rarest gram of their text, or by conference and year where
+    they have no text.  A query with neither matches every paper whose longest
+    field has as many characters as it has ``_``; those rows are all part of the answer.
+    """
+    fields, found, open_queries = _parted(papers, queries, facets)
+    lengths = open_queries.select("least").distinct()
+    every = fields.join(F.broadcast(lengths), F.col("longest") >= F.col("least")).join(open_queries, "least")
+    return found.unionByName(every.select(*_FOUND))
 
 
 def batch_search(papers: DataFrame, queries: DataFrame, limit: int = 20, facets: bool = True) -> DataFrame:
-    """Newest ``limit`` matches of each query, numbered by ``position``."""
-    order = Window.partitionBy("query_id").orderBy(*newest_first())
-    return (
-        query_matches(papers, queries, facets)
-        .withColumn("position", F.row_number().over(order))
-        .where(F.col("position") <= limit)
-    )
+    """Newest ``limit`` matches of each query, numbered by ``position``.
+
+    Queries that ask for neither text nor facets share one list of newest papers (one for
+    each number of ``_`` in them).
+    """
+    fields, found, open_queries = _parted(papers, queries, facets)
+    newest = Window.partitionBy("query_id").orderBy(*newest_first())
+    ranked = found.withColumn("position", F.row_number().over(newest)).where(F.col("position") <= limit)
+    for row in open_queries.select("least").distinct().collect():  # one for each number of wildcards
+        shown = all_papers(fields.where(F.col("longest") >= row["least"]), limit).select("id", "title", "year", "venue")
+        numbered = shown.withColumn("position", F.row_number().over(Window.orderBy(*newest_first())))  # ``limit`` rows
+        ranked = ranked.unionByName(open_queries.where(F.col("least") == row["least"]).select("query_id").crossJoin(numbered))
+    return ranked
 
 
 def batch_exact(papers: DataFrame, queries: DataFrame, limit: int = 20) -> DataFrame:
@@ -185,7 +239,8 @@ def missing_abstracts(papers: DataFrame, limit: int = 200) -> DataFrame:
     )
 
 
-def page_size(asked: object, usual: int = 50, most: int = 100) -> int:
-    """The number of rows to show: a whole number held to 1..``most``, ``usual`` for anything else."""
-    text = str(asked).strip()
-    return sorted((1, int(text), most))[1] if re.fullmatch(r"[+-]?[0-9]+", text) else usual
+def page_size(asked: Column, usual: int = 50, most: int = MOST_ROWS) -> Column:
+    """Rows to show for an asked text: a whole number, held to 1..``most``, or else ``usual``."""
+    text = F.btrim(asked.cast("string"))
+    held = F.least(F.greatest(text.try_cast("double"), F.lit(1)), F.lit(most))
+    return F.when(text.rlike("^[+-]?[0-9]+$"), held).otherwise(usual).cast("int")

@@ -175,6 +175,18 @@ class Library:
             self._save(catalog.set_abstracts(self.papers(), found))
         return changed
 
+    def enrich_backlog(self, records: DataFrame, limit: int = 200) -> int:
+        """Fill the abstracts of the backlog's first ``limit`` papers from the most similar titles of ``records``.
+
+        ``records`` is ``(_seq, title, abstract, keywords)``, whatever their number.
+        """
+        titles = self.backlog(limit).select(F.col("id").alias("paper_id"), "title")
+        found = checkpointed(match.matched_abstracts(titles, records))
+        changed = found.count()
+        if changed:
+            self._save(catalog.set_abstracts(self.papers(), found))
+        return changed
+
     def backfill_venues(self, records: DataFrame) -> int:
         """Fill missing venues from records of the same title; derived tables become stale."""
         filled = match.backfill_venues(self.papers(), records)
@@ -227,9 +239,7 @@ class Library:
         return derive.summary(self.derived(), limit)
 
     def keyword_papers(self, keyword: str, limit: object = 50) -> DataFrame:
-        return keywords.papers_for_keyword(
-            self.derived().keyword_papers, self.papers(), keyword, search.page_size(limit)
-        )
+        return keywords.papers_for_keyword(self.derived().keyword_papers, self.papers(), keyword, limit)
 
     def trends(self, keywords: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
         """Trend rows, and the years and venues that occur in them."""

@@ -148,9 +148,12 @@ ORDER BY CASE WHEN venue IN ('CVPR', 'ICCV', 'ECCV') THEN 0 ELSE 1 END, "year" D
 
 _ASKED = f"""asked AS (
   SELECT item_id AS query_id, concat_ws(' ',
-    CASE WHEN item_id % 3 = 0 THEN 'venue:' || ['cvpr', 'Iccv', 'ECCV'][item_id % 9 // 3 + 1] END,
-    array_to_string(string_split(text, ' ')[1:1 + item_id % 2], ' '),
-    CASE WHEN item_id % 4 = 1 THEN 'year:' || (2022 + item_id % 5) END) AS query FROM benchmark),
+    CASE WHEN item_id % 3 = 0 THEN 'venue:' || ['cvpr', 'Iccv', 'ECCV'][item_id % 9 // 3 + 1] END, text,
+    CASE WHEN item_id % 4 = 1 THEN 'year:' || (2022 + item_id % 5) END) AS query FROM benchmark
+  UNION ALL SELECT 1000000000 + doc_id, {_TITLE} FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
+  UNION ALL SELECT 2000000000 + min(doc_id), source FROM documents GROUP BY source
+  UNION ALL SELECT 3000000000 + doc_id, 'year:' || (2022 + doc_id % 5) || ' venue:' || ['cvpr', 'Iccv', 'ECCV'][doc_id % 9 // 3 + 1]
+  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)),
 parsed AS (
   SELECT query_id,
     {_normal(r"regexp_replace(query, '(?i)\b(?:venue:(?:CVPR|ICCV|ECCV)|year:20\d{2})\b', '', 'g')")} AS text,
@@ -259,17 +262,19 @@ SQL["venue_backfill_parts"] = f"""WITH known AS (
 found AS (SELECT t, arg_min(v, seq) AS v, arg_min(y, seq) AS y FROM known WHERE v IS NOT NULL GROUP BY t)
 SELECT p_partkey AS id, p_name, coalesce(v, '') AS venue, y AS "year" FROM part LEFT JOIN found ON p_name = t"""
 
+_FIRST = f"doc_id % 3 = 0 AND {_SOURCE_NO} % 10 < 6"
 _HITS = f"""hits AS (
-  SELECT 'q' || doc_id % 70 AS query_id, CASE WHEN doc_id % 3 = 0 THEN 'OpenAlex' ELSE 'Crossref' END AS source,
-    CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 1 END AS priority, doc_id AS _seq, {_TITLE} AS title, CAST(2000 + doc_id % 25 AS INTEGER) AS "year"
-  FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 70 < 40),
+  SELECT 'q' || doc_id % 70 AS query_id, CASE WHEN {_FIRST} THEN 'OpenAlex' ELSE 'Crossref' END AS source,
+    CASE WHEN {_FIRST} THEN 0 ELSE 1 END AS priority, doc_id AS _seq, {_TITLE} AS title, CAST(2000 + doc_id % 25 AS INTEGER) AS "year"
+  FROM documents),
 won AS (SELECT query_id, min(priority) AS priority FROM hits GROUP BY query_id)"""
 SQL["source_priority"] = f"WITH {_HITS} SELECT query_id, source, _seq FROM hits JOIN won USING (query_id, priority)"
 SQL["sources_without_answer"] = f"""WITH {_HITS}, asked AS (SELECT DISTINCT 'q' || doc_id % 90 AS query_id FROM documents)
 SELECT a.query_id, s.source FROM asked a LEFT JOIN won USING (query_id)
 JOIN (VALUES ('OpenAlex', 0), ('Crossref', 1)) s(source, priority) ON won.priority IS NULL OR s.priority < won.priority"""
 SQL["local_first"] = f"""WITH {_FIELDS}, {_HITS},
-asked AS (SELECT 'q' || item_id AS query_id, {_normal("array_to_string(string_split(text, ' ')[1:2], ' ')")} AS q FROM benchmark),
+asked AS (SELECT 'q' || item_id AS query_id, {_normal('text')} AS q FROM benchmark
+  UNION ALL SELECT 's' || min(doc_id), {_normal('source')} FROM documents GROUP BY source),
 local AS (SELECT query_id, 'local' AS source,
     CAST(row_number() OVER (PARTITION BY query_id ORDER BY {_NEWEST}) AS INTEGER) AS position, title, "year"
   FROM fields, asked WHERE {_like('q')} QUALIFY position <= 20),
@@ -286,6 +291,10 @@ wanted AS (SELECT id AS paper_id, title AS query, unnest({_WORDS}) AS word FROM
 rarest AS (SELECT paper_id, query, word FROM wanted JOIN spread USING (word)
   QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY n, word) = 1)
 SELECT paper_id, query, _seq, title FROM rarest JOIN postings USING (word)"""
+SQL["abstract_match_equal"] = f"""WITH {_PAPERS},
+firsts AS (SELECT {_key('title')} AS k, arg_min(abstract, id) AS abstract FROM papers WHERE trim(abstract) <> '' GROUP BY 1)
+SELECT id, md5(firsts.abstract) AS abstract_md5, 1.0::DOUBLE AS similarity FROM papers JOIN firsts ON {_key('title')} = k
+WHERE papers.abstract IS NULL OR trim(papers.abstract) = ''"""
 SQL["grid_coverage"] = f"""WITH {_PAPERS},
 cells AS (SELECT venue, "year" FROM (VALUES {', '.join(f"('{v}', {y})" for v in CONFERENCES for y in YEARS)}) c(venue, "year"))
 SELECT c.venue, c."year", count(p.id) AS paper_count FROM cells c
@@ -312,7 +321,7 @@ SQL["canonical_venues"] = f"""WITH {_PAPERS},
 named AS (SELECT id, CASE WHEN id % 2 = 0 THEN 'Proc. ' || coalesce(lower(venue), 'misc') || ' and ECCV' ELSE venue END AS v FROM papers)
 SELECT id, {_CANONICAL.format('v')} AS venue FROM named"""
 SQL["keyword_lists"] = f"""WITH parts AS (
-  SELECT doc_id, list_filter(list_transform(string_split({_TITLE}, ','), lambda k: {_stripped('k')}), lambda k: k <> '') AS ks FROM documents),
+  SELECT doc_id, list_filter(list_transform(string_split(replace(text, chr(10), ','), ','), lambda k: {_stripped('k')}), lambda k: k <> '') AS ks FROM documents),
 numbered AS (SELECT doc_id, unnest(range(len(ks))) AS position, ks FROM parts)
 SELECT doc_id, CAST(position AS INTEGER) AS position, ks[position + 1] AS keyword FROM numbered"""
 

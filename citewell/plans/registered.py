@@ -113,7 +113,7 @@ def keyword_link_table(spark, sf_dir):
 
 @query
 def drilldown(spark, sf_dir):
-    found = keywords.papers_for_keyword(_links(spark, sf_dir), papers(spark, sf_dir), DRILLDOWN_KEYWORD, search.page_size("250"))
+    found = keywords.papers_for_keyword(_links(spark, sf_dir), papers(spark, sf_dir), DRILLDOWN_KEYWORD, "250")
     return found.select("id", "title", "venue", "year")
 
 
@@ -232,12 +232,18 @@ def backlog(spark, sf_dir):
 
 
 def _facet_queries(spark, sf_dir):
-    """One query per benchmark item: its first two words, some with facets."""
-    item = F.col("item_id")
-    words = F.concat_ws(" ", F.slice(F.split("text", " "), 1, 1 + (item % 2).cast("int")))
-    facets = F.when(item % 3 == 0, F.concat(F.lit("venue:"), F.element_at(F.array(F.lit("cvpr"), F.lit("Iccv"), F.lit("ECCV")), (item % 9 / 3 + 1).cast("int"))))
+    """Whole benchmark texts, some with facets; whole titles of labelled documents; source names; facets alone."""
+    item, doc = F.col("item_id"), F.col("doc_id")
+    venue = lambda n: F.element_at(F.array(F.lit("cvpr"), F.lit("Iccv"), F.lit("ECCV")), (n % 9 / 3 + 1).cast("int"))
+    facets = F.when(item % 3 == 0, F.concat(F.lit("venue:"), venue(item)))
     year = F.when(item % 4 == 1, F.concat(F.lit("year:"), (2022 + item % 5).cast("string")))
-    return table(spark, sf_dir, "benchmark").select(item.alias("query_id"), F.concat_ws(" ", facets, words, year).alias("query"))
+    texts = table(spark, sf_dir, "benchmark").select(item.alias("query_id"), F.concat_ws(" ", facets, "text", year).alias("query"))
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.join(table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    titles = asked.select((1_000_000_000 + doc).alias("query_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("query"))
+    sources = docs.groupBy("source").agg(F.min("doc_id").alias("doc_id")).select((2_000_000_000 + doc).alias("query_id"), F.col("source").alias("query"))
+    cells = asked.select((3_000_000_000 + doc).alias("query_id"), F.concat(F.lit("year:"), 2022 + doc % 5, F.lit(" venue:"), venue(doc)).alias("query"))
+    return texts.unionByName(titles).unionByName(sources).unionByName(cells)
 
 
 @query
@@ -433,13 +439,14 @@ def venue_backfill_parts(spark, sf_dir):
 
 
 def _source_hits(spark, sf_dir):
+    """Two sources' answers; one of them has none for queries of some document sources."""
     doc = F.col("doc_id")
-    docs = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("q"), doc % 70).alias("query_id"), F.when(doc % 3 == 0, "OpenAlex").otherwise("Crossref").alias("source"),
-        F.when(doc % 3 == 0, 0).otherwise(1).alias("priority"), doc.alias("_seq"),
+    first = (doc % 3 == 0) & (F.substring("source", 4, 10).cast("int") % 10 < 6)
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("q"), doc % 70).alias("query_id"), F.when(first, "OpenAlex").otherwise("Crossref").alias("source"),
+        F.when(first, 0).otherwise(1).alias("priority"), doc.alias("_seq"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), (2000 + doc % 25).cast("int").alias("year"), F.col("source").alias("venue"),
     )
-    return docs.where((F.col("priority") == 1) | (doc % 70 < 40))
 
 
 @query
@@ -455,31 +462,40 @@ def sources_without_answer(spark, sf_dir):
 
 @query
 def local_first(spark, sf_dir):
-    """Titles of the benchmark asked of the catalog first, then of the staged sources."""
+    """Whole texts of the benchmark and source names asked of the catalog first, then of the staged sources."""
     asked = table(spark, sf_dir, "benchmark").select(
-        F.concat(F.lit("q"), F.col("item_id")).alias("query_id"), F.concat_ws(" ", F.slice(F.split("text", " "), 1, 2)).alias("query")
+        F.concat(F.lit("q"), F.col("item_id")).alias("query_id"), F.col("text").alias("query")
     )
+    docs = table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("doc_id"))
+    asked = asked.unionByName(docs.select(F.concat(F.lit("s"), "doc_id").alias("query_id"), F.col("source").alias("query")))
     return match.local_first(papers(spark, sf_dir), asked, _source_hits(spark, sf_dir)).select("query_id", "source", "position", "title", "year")
 
 
-def _abstract_hits(spark, sf_dir):
+def _titles_and_records(spark, sf_dir):
     stored = papers(spark, sf_dir)
     wanted = stored.where(text.blank(F.col("abstract"))).select(F.col("id").alias("paper_id"), "title")
     known = stored.where(~text.blank(F.col("abstract"))).select(F.col("id").alias("_seq"), "title", "abstract", "keywords")
-    return match.title_hits(wanted, known)
+    return wanted, known
 
 
 @query
 def title_lookup(spark, sf_dir):
-    return _abstract_hits(spark, sf_dir).select("paper_id", "query", "_seq", "title")
+    return match.title_hits(*_titles_and_records(spark, sf_dir)).select("paper_id", "query", "_seq", "title")
 
 
 @query
 def abstract_match(spark, sf_dir):
-    found = match.best_abstracts(_abstract_hits(spark, sf_dir))
+    found = match.matched_abstracts(*_titles_and_records(spark, sf_dir))
     return found.select("id", F.md5("abstract").alias("abstract_md5"), F.round("similarity", 6).alias("similarity"))
 
 
+@query
+def abstract_match_equal(spark, sf_dir):
+    """The part of ``abstract_match`` whose titles have a record of the same match key."""
+    found = match.matched_abstracts(*_titles_and_records(spark, sf_dir)).where("similarity = 1")
+    return found.select("id", F.md5("abstract").alias("abstract_md5"), "similarity")
+
+
 @query
 def grid_coverage(spark, sf_dir):
     return grid.grid_coverage(papers(spark, sf_dir))
@@ -539,7 +555,8 @@ def canonical_venues(spark, sf_dir):
 
 @query
 def keyword_lists(spark, sf_dir):
-    listed = text.keyword_list(F.split_part("text", F.lit("\n"), F.lit(1)))
+    """Keywords of every line of a text."""
+    listed = text.keyword_list(F.replace("text", F.lit("\n"), F.lit(",")))
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(listed).alias("position", "keyword"))
 
 

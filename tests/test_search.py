@@ -5,8 +5,11 @@ import re
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark.sql import functions as F
 
+from citewell.functions.text import match_key
 from citewell.operators import match, search
+from citewell.plans import registered
 
 
 @pytest.fixture()
@@ -43,8 +46,11 @@ def test_exact_blank_and_lookup(shelf):
     assert ids(search.paper_by_id(shelf, 4)) == [4] and ids(search.paper_by_id(shelf, 40)) == []
 
 
-def test_limit_clamp():
-    assert [search.page_size(v) for v in ("250", "0", "bad", None, "7", " 8 ", -3, "1.5")] == [100, 1, 50, 50, 7, 8, 1, 50]
+def test_limit_clamp(spark):
+    asked = spark.createDataFrame([(i, v) for i, v in enumerate(("250", "0", "bad", None, "7", " 8 ", "-3", "1.5", "9" * 60))], "i int, v string")
+    rows = asked.orderBy("i").select(search.page_size(F.col("v")).alias("n")).collect()
+    assert [r.n for r in rows] == [100, 1, 50, 50, 7, 8, 1, 50, 100]
+    assert asked.select(search.page_size(F.lit(30)).alias("n")).first().n == 30
 
 
 def test_backlog_order(papers_of):
@@ -67,18 +73,22 @@ def brute(papers, queries):
     return found
 
 
-@pytest.mark.parametrize("inline", [2000, 0])
-def test_batch_search_equals_brute_force(spark, papers_of, inline):
+def test_batch_search_equals_brute_force(spark, papers_of):
     rng = random.Random(3)
     letters = "abcé "
     papers = papers_of(*[
         {"title": "".join(rng.choices(letters, k=rng.randint(1, 25))), "venue": rng.choice(["CVPR", "x y", None]), "year": rng.choice([2020, 2021, None]),
          "keywords": rng.choices(["ab", "a b", "cé"], k=rng.randint(0, 2)), "dblp_key": rng.choice([None, "k/ab"])} for _ in range(150)])
-    texts = ["".join(rng.choices("abcé %_", k=rng.randint(1, 9))) for _ in range(60)] + ["%", "_", "k/ab", "it's", "ab\\"]
+    texts = ["".join(rng.choices("abcé %_", k=rng.randint(1, 9))) for _ in range(60)] + ["%", "_", "", " ", "_" * 22, "%_%_", "k/ab", "it's", "ab\\"]
     queries = [(i, " ".join(t.split())) for i, t in enumerate(texts)]
     asked = spark.createDataFrame(queries, "query_id int, query string")
-    got = [(r.query_id, r.id) for r in search.query_matches(papers, asked, inline_anchors=inline).collect()]
-    assert len(got) == len(set(got)) and set(got) == brute(papers.collect(), queries)
+    got = [(r.query_id, r.id) for r in search.query_matches(papers, asked).collect()]
+    want = brute(papers.collect(), queries)
+    assert len(got) == len(set(got)) and set(got) == want
+    place = {p.id: (-(p.year or 0), p.title, p.id) for p in papers.collect()}
+    newest = {q: sorted((p for r, p in want if r == q), key=place.get)[:4] for q, _ in queries}
+    shown = sorted((r.query_id, r.position, r.id) for r in search.batch_search(papers, asked, 4).collect())
+    assert shown == sorted((q, i + 1, p) for q, ids in newest.items() for i, p in enumerate(ids))
 
 
 def test_batch_search_facets_and_limit(spark, shelf):
@@ -124,6 +134,48 @@ def test_best_abstracts_equal_brute_force(spark):
     assert {r.id: (r.similarity, r.abstract) for r in match.best_abstracts(df).collect()} == want
 
 
+def _best_of_all_pairs(titles, records):
+    best = {}
+    for paper, a in titles:
+        for seq, b, abstract in sorted(records):
+            if abstract and 2 * min(len(a), len(b)) >= 0.65 * (len(a) + len(b)):
+                ratio = SequenceMatcher(None, a, b).ratio()
+                if ratio >= 0.65 and (paper not in best or ratio > best[paper][0]):
+                    best[paper] = (ratio, seq)
+    return best
+
+
+def test_matched_abstracts_equal_all_pairs(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 7)))
+    base = [" ".join(word() for _ in range(rng.randint(1, 9))) for _ in range(60)]
+
+    def edited(title):
+        words = [w if rng.random() < 0.8 else word() for w in title.split()]
+        return " ".join(words[: rng.randint(max(1, len(words) - 2), len(words))])
+
+    records = [(i, edited(t), f"abstract {i}" if rng.random() < 0.8 else rng.choice([None, ""])) for i, t in enumerate(base * 5)]
+    records += [(500 + i, "the common words of all", f"c {i}") for i in range(40)]
+    titles = [(i, t) for i, t in enumerate(base)] + [(900, "the common words of all"), (901, ""), (902, "zzzz"), (903, "the common word of all")]
+    left = spark.createDataFrame(titles, "paper_id long, title string")
+    right = spark.createDataFrame([(*r, ["k"] if r[0] % 2 else []) for r in records], "_seq long, title string, abstract string, keywords array<string>")
+    got = {r.id: (r.similarity, int(r.abstract.split()[1]) + (500 if r.abstract[0] == "c" else 0), r.keywords) for r in match.matched_abstracts(left, right).collect()}
+    want = _best_of_all_pairs(titles, records)
+    missed = [p for p in want if p not in got or got[p][0] < want[p][0]]
+    assert len(want) > 50 and len(missed) <= 1, missed
+    assert all(p in want and got[p] == (*want[p], ["k"] if want[p][1] % 2 else None) for p in got if p not in missed)
+
+
+def test_matched_abstracts_of_the_given_titles(spark):
+    """Recall 1.0 against all pairs of the smallest tables."""
+    titles, records = registered._titles_and_records(spark, "/root/testdata/sf0.001")
+    key = match_key(F.col("title")).alias("key")
+    left = [(r[0], r.key) for r in titles.select("paper_id", key).collect()]
+    right = [(r[0], r.key, "text") for r in records.select("_seq", key).collect()]
+    got = {r.id: r.similarity for r in match.matched_abstracts(titles, records).collect()}
+    assert got == {p: ratio for p, (ratio, _) in _best_of_all_pairs(left, right).items()}
+
+
 def test_title_hits_share_the_rarest_word(spark):
     titles = spark.createDataFrame([(1, "Common rare"), (2, "common"), (3, "absent")], "paper_id long, title string")
     records = spark.createDataFrame([(i, "common word", f"a{i}", []) for i in range(9)] + [(9, "Rare common", "r", [])],
