@@ -14,6 +14,15 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
 
 
+def in_source_order(*sources: DataFrame) -> DataFrame:
+    """Bag union whose ``_seq`` sorts the rows of an earlier source before those of a later one.
+
+    Sources that number their rows alike keep that order within; ``_seq`` becomes (source, seq).
+    """
+    ranked = [s.withColumn("_seq", F.struct(F.lit(i).alias("source"), F.col("_seq").alias("seq"))) for i, s in enumerate(sources)]
+    return union_sources(*ranked)
+
+
 def first_by_identity(records: DataFrame) -> DataFrame:
     """Keeps the first arrival (lowest ``_seq``) of each identity.
 

@@ -48,6 +48,6 @@ def cell_batches(records: DataFrame, venues: Sequence[str] = CONFERENCES, years:
     cell_no = F.col("_cell.no") * len(years) + F.array_position(F.array(*[F.lit(y) for y in years]), F.col("year"))
     return (
         cells.withColumn("source_query", F.concat_ws(":", F.col("_cell.name"), F.col("year"), F.lit("openalex-crossref")))
-        .withColumn("_seq", F.shiftleft(cell_no.cast("bigint"), 48) + F.col("_seq"))
+        .withColumn("_seq", F.struct(cell_no.cast("int").alias("cell"), F.col("_seq").alias("seq")))
         .drop("_cell")
     )

@@ -34,7 +34,9 @@ class Library:
     def _pointer(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def _versions(self) -> DataFrame:
@@ -116,13 +118,13 @@ class Library:
             titles = self.spark.createDataFrame([(t, i) for i, t in enumerate(titles)], "title STRING, _seq BIGINT")
         return self.upsert(from_titles(titles, venue, year), "user-import")
 
-    def import_records(self, records: DataFrame) -> int:
-        """Record rows with ``_seq``, or rows already read by ``read_records``."""
-        return self.upsert(from_records(records), "bulk-import")
+    def import_records(self, records: DataFrame, source_query: str = "bulk-import") -> int:
+        """Record rows with ``_seq``, or rows already read by ``read_records``, under the mark of their source."""
+        return self.upsert(from_records(records), source_query)
 
     def collect_grid(self, *sources: DataFrame) -> int:
         """Import the records of several sources that fall into the collection grid."""
-        return self.upsert(grid.cell_batches(collect.union_sources(*sources)))
+        return self.upsert(grid.cell_batches(collect.in_source_order(*sources)))
 
     def lookup(self, queries: DataFrame, staged_hits: DataFrame, limit: int = 20, exact: bool = False) -> DataFrame:
         """Answer ``(query_id, query)`` rows local-first; answers from a source enter the catalog.

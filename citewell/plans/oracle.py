@@ -368,3 +368,16 @@ SQL["provenance_row"] = f"""SELECT 'saved pages' AS source, 'https://example.org
 SQL["stream_import"] = f"""WITH {_BATCH}
 SELECT title, title_normalized, venue, "year", doi, dblp_key, 'batch' AS paper_type, 'stream' AS source_query,
   md5(abstract) AS abstract_md5, coalesce(array_to_string(keywords, ','), '') AS keywords FROM folded"""
+SQL["answers_from_pages"] = f"""WITH {_FIELDS},
+asked AS (SELECT min(doc_id) AS n, source FROM documents GROUP BY source),
+local AS (SELECT 'local' || n AS query_id, 'local' AS source, title, "year" FROM fields, asked a WHERE {_like('lower(a.source)')}
+  QUALIFY row_number() OVER (PARTITION BY n ORDER BY {_NEWEST}) <= 1000),
+hits AS (SELECT d.source, {_stripped(_TITLE)} AS title, lang = 'en' AS openalex FROM documents d WHERE {_stripped(_TITLE)} <> ''),
+answers AS (SELECT source, title, 0 AS priority FROM hits WHERE openalex UNION ALL SELECT source, title, 1 FROM hits),
+won AS (SELECT source, min(priority) AS priority FROM answers GROUP BY source)
+SELECT query_id, source, count(*) AS n, min(title) AS first_title, max("year") AS last_year FROM local GROUP BY ALL
+UNION ALL SELECT 'fetched' || a.n, CASE WHEN priority = 0 THEN 'OpenAlex' ELSE 'DBLP' END, least(count(*), 1000), min(title),
+  CASE WHEN priority = 0 THEN 2024 ELSE 2023 END
+FROM answers JOIN won USING (source, priority) JOIN asked a USING (source) GROUP BY a.n, priority"""
+SQL["unreadable_lines"] = """SELECT count(*) FILTER (lang IN ('de', 'fr')) AS lines, count(*) FILTER (lang = 'de') AS lost,
+  count(*) FILTER (lang IS NULL OR lang <> 'de') AS imported FROM documents"""

@@ -658,6 +658,44 @@ def crossref_pages(spark, sf_dir):
     )
 
 
+@query
+def answers_from_pages(spark, sf_dir):
+    """Saved pages of two services, read back as answers of the queries they were fetched for, asked local-first."""
+    docs = table(spark, sf_dir, "documents")
+    title = F.split_part("text", F.lit("\n"), F.lit(1))
+    fetched_for = F.concat(F.lit("zq~ "), F.col("source"))
+    openalex, dblp = _scratch(spark, "answers-openalex"), _scratch(spark, "answers-dblp")
+    item = F.struct(F.concat(F.lit("W"), F.col("doc_id")).alias("id"), title.alias("title"), F.lit(2024).alias("publication_year"))
+    docs.where("lang = 'en'").select(fetched_for.alias("query"), F.array(item).alias("results")).write.json(openalex)
+    info = F.struct(title.alias("title"), F.concat(F.lit("conf/"), F.col("doc_id")).alias("key"), F.lit("2023").alias("year"))
+    hit = F.struct(F.struct(F.struct(info.alias("info")).alias("hit")).alias("hits"))
+    docs.select(fetched_for.alias("query"), hit.alias("result")).write.json(dblp)
+    named = docs.groupBy("source").agg(F.min("doc_id").alias("n"))
+    asked = named.select(F.concat(F.lit("local"), "n").alias("query_id"), F.col("source").alias("query")).unionByName(
+        named.select(F.concat(F.lit("fetched"), "n").alias("query_id"), fetched_for.alias("query"))
+    )
+    answers = providers.answers_of(
+        asked, providers.as_answers(providers.read_openalex(spark, openalex), "OpenAlex", 0),
+        providers.as_answers(providers.read_dblp(spark, dblp), "DBLP", 1),
+    )
+    shown = match.local_first(papers(spark, sf_dir), asked, answers, limit=1000)
+    return shown.groupBy("query_id", "source").agg(F.count("*").alias("n"), F.min("title").alias("first_title"), F.max("year").alias("last_year"))
+
+
+@query
+def unreadable_lines(spark, sf_dir):
+    """Documents as JSON lines, some cut short or with a field of another kind; what cannot be read is counted."""
+    out = _scratch(spark, "unreadable")
+    line = F.to_json(F.struct(F.concat(F.lit("t"), F.col("doc_id")).alias("title"), F.array("lang").alias("authors"), F.col("text").alias("abstract")))
+    kept = F.when(F.col("lang") == "de", F.substring(line, 1, 20)).when(
+        F.col("lang") == "fr", F.replace(line, F.lit('["fr"]'), F.lit('"fr"'))
+    ).otherwise(line)
+    table(spark, sf_dir, "documents").select(kept.alias("value")).write.text(out)
+    counts = records.unreadable_counts(spark, out).agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"), F.coalesce(F.sum("lost"), F.lit(0)).alias("lost"))
+    read = records.read_records(spark, out).agg(F.count("*").alias("imported"))
+    return counts.crossJoin(read)  # one row each
+
+
 @query
 def pdf_listing(spark, sf_dir):
     """A path per document; some downloads are not finished."""

@@ -6,19 +6,21 @@ the search text that produced the response, so that facets in it can filter the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citewell.functions.keys import doi_url, provider_key
 from citewell.functions.text import inverted_abstract, nonempty, strip, strip_markup
 from citewell.functions.venues import facet_venue, facet_year, facets_match
-from citewell.sources.records import paper_rows, year_number
+from citewell.sources.records import arrival, paper_rows, year_number
 
-# One-or-many fields are declared STRING: the reader then hands over their JSON text.
-_DBLP_HITS = "result STRUCT<hits: STRUCT<hit: STRING>>"
+# One-or-many fields are VARIANT: a list, an object or a plain value, told apart after reading.
+_DBLP_HITS = "result STRUCT<hits: STRUCT<hit: VARIANT>>"
 _DBLP_PAGE = f"query STRING, {_DBLP_HITS}, pages ARRAY<STRUCT<query: STRING, {_DBLP_HITS.replace(' ', ': ', 1)}>>"
 _DBLP_INFO = (
-    "STRUCT<info: STRUCT<title: STRING, authors: STRUCT<author: STRING>, venue: STRING, year: STRING, "
-    "doi: STRING, url: STRING, ee: STRING, key: STRING, type: STRING>>"
+    "STRUCT<title: STRING, authors: STRUCT<author: VARIANT>, venue: STRING, year: STRING, "
+    "doi: STRING, url: STRING, ee: VARIANT, key: STRING, type: STRING>"
 )
 _OPENALEX_PAGE = (
     "query STRING, results ARRAY<STRUCT<id: STRING, title: STRING, publication_year: INT, doi: STRING, "
@@ -35,46 +37,64 @@ _CROSSREF_PAGE = (
 )
 
 
-def one_or_many(text: Column, element: str) -> Column:
-    """Array of ``element`` from JSON text holding a list, one value, or nothing."""
-    is_list = F.startswith(F.ltrim(text), F.lit("["))
-    one = F.array(text) if element == "STRING" else F.array(F.from_json(text, element))
-    return F.when(is_list, F.from_json(text, f"ARRAY<{element}>")).when(text.isNotNull(), one).otherwise(F.array())
+def one_or_many(value: Column) -> Column:
+    """Array of variants from a variant that holds a list, one value, or nothing."""
+    listed = F.try_variant_get(value, "$", "array<variant>")
+    is_list = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
+    one = F.when(value.isNotNull() & ~F.is_variant_null(value), F.array(value))
+    return F.coalesce(F.when(is_list, listed), one, F.array().cast("array<variant>"))
 
 
 def _text_or_field(entry: Column, *fields: str) -> Column:
     """A plain string, or the first non-empty of ``fields`` when the entry is an object."""
-    inner = F.coalesce(*[nonempty(F.get_json_object(entry, f"$.{f}")) for f in fields])
-    return nonempty(F.when(F.startswith(entry, F.lit("{")), inner).otherwise(entry))
+    inner = F.coalesce(*[nonempty(F.try_variant_get(entry, f"$.{f}", "string")) for f in fields])
+    is_object = F.startswith(F.schema_of_variant(entry), F.lit("OBJECT"))
+    return F.when(is_object, inner).otherwise(nonempty(F.try_variant_get(entry, "$", "string")))
 
 
 def _read_pages(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=multi_line)
+    return spark.read.schema(schema).json(path, multiLine=multi_line).withColumn("_at", arrival())
+
+
+def _hits(pages: DataFrame, items: Column, name: str) -> DataFrame:
+    """One row for each item of a page, with the page's query and its place."""
+    numbered = pages.select(F.coalesce("query", F.lit("")).alias("query"), "_at", F.posexplode(items).alias("_place", name))
+    return numbered.withColumn("_seq", F.struct("_at", "_place")).drop("_at", "_place")
+
+
+def _with_query(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Import rows that keep ``query``."""
+    return paper_rows(df, columns, carried=("query",))
+
 
+def as_answers(records: DataFrame, source: str, priority: int) -> DataFrame:
+    """Import rows with their ``query`` as staged answers of a source: ``source`` and ``priority`` are added."""
+    return records.withColumns({"source": F.lit(source), "priority": F.lit(priority)})
 
-def _numbered(df: DataFrame) -> DataFrame:
-    return df.withColumn("_seq", F.monotonically_increasing_id())
+
+def answers_of(queries: DataFrame, *sources: DataFrame) -> DataFrame:
+    """``query_id`` and the rows of all sources whose page was fetched for that query's text."""
+    rows = reduce(DataFrame.unionByName, sources)
+    return queries.select("query_id", "query").join(rows, "query").drop("query")
 
 
 def read_dblp(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Bare responses, or raw envelopes with a ``pages`` list."""
+    """Bare responses, or raw envelopes with a ``pages`` list; rows keep the ``query`` of their page."""
     pages = _read_pages(spark, path, _DBLP_PAGE, multi_line).select(
-        F.explode(F.coalesce("pages", F.array(F.struct("query", "result")))).alias("page")
-    )
-    hits = pages.select(
-        F.col("page.query").alias("query"),
-        F.explode(one_or_many(F.col("page.result.hits.hit"), _DBLP_INFO)).alias("hit"),
-    )
-    info = F.col("hit.info")
+        "_at", F.posexplode(F.coalesce("pages", F.array(F.struct("query", "result")))).alias("_page", "page")
+    ).select("page.query", F.col("_at").withField("place", F.col("_page")).alias("_at"), F.col("page.result.hits.hit").alias("hit"))
+    hits = _hits(pages, one_or_many(F.col("hit")), "found")
+    hits = hits.withColumn("info", F.try_variant_get("found", "$.info", _DBLP_INFO)).where("info IS NOT NULL")
+    info = F.col("info")
     title = strip(F.coalesce(info["title"], F.lit("")))
     names = F.array_compact(
-        F.transform(one_or_many(info["authors"]["author"], "STRING"), lambda a: _text_or_field(a, "text", "name"))
+        F.transform(one_or_many(info["authors"]["author"]), lambda a: _text_or_field(a, "text", "name"))
     )
     editions = F.array_compact(
-        F.transform(one_or_many(info["ee"], "STRING"), lambda e: _text_or_field(e, "text", "href"))
+        F.transform(one_or_many(info["ee"]), lambda e: _text_or_field(e, "text", "href"))
     )
-    return paper_rows(
-        _numbered(hits).where(title != ""),
+    return _with_query(
+        hits.where(title != ""),
         {
             "title": title,
             "authors": F.transform(names, strip),
@@ -91,9 +111,7 @@ def read_dblp(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
 
 
 def read_openalex(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    items = _read_pages(spark, path, _OPENALEX_PAGE, multi_line).select(
-        F.coalesce("query", F.lit("")).alias("query"), F.explode("results").alias("item")
-    )
+    items = _hits(_read_pages(spark, path, _OPENALEX_PAGE, multi_line), F.col("results"), "item")
     item, query = F.col("item"), F.col("query")
     title = strip(F.coalesce(item["title"], F.lit("")))
     venue, year = item["primary_location"]["source"]["display_name"], item["publication_year"]
@@ -101,8 +119,8 @@ def read_openalex(spark: SparkSession, path: str, multi_line: bool = False) -> D
     concepts = F.transform(item["concepts"], lambda c: nonempty(c["display_name"]))
     present = lambda items: F.coalesce(F.array_compact(items), F.array().cast("array<string>"))
     doi = nonempty(item["doi"])
-    return paper_rows(
-        _numbered(items).where((title != "") & facets_match(facet_venue(query), facet_year(query), venue, year)),
+    return _with_query(
+        items.where((title != "") & facets_match(facet_venue(query), facet_year(query), venue, year)),
         {
             "title": title,
             "authors": present(names),
@@ -133,9 +151,7 @@ def crossref_year(item: Column) -> Column:
 
 
 def read_crossref(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    items = _read_pages(spark, path, _CROSSREF_PAGE, multi_line).select(
-        F.coalesce("query", F.lit("")).alias("query"), F.explode("message.items").alias("item")
-    )
+    items = _hits(_read_pages(spark, path, _CROSSREF_PAGE, multi_line), F.col("message.items"), "item")
     item, query = F.col("item"), F.col("query")
     first = lambda name: strip(F.coalesce(F.get(item[name], F.lit(0)), F.lit("")))
     title, venue, year = first("title"), nonempty(first("container-title")), crossref_year(item)
@@ -144,8 +160,8 @@ def read_crossref(spark: SparkSession, path: str, multi_line: bool = False) -> D
     )
     url = nonempty(item["URL"])
     empty = F.array().cast("array<string>")
-    return paper_rows(
-        _numbered(items).where((title != "") & facets_match(facet_venue(query), facet_year(query), venue, year)),
+    return _with_query(
+        items.where((title != "") & facets_match(facet_venue(query), facet_year(query), venue, year)),
         {
             "title": title,
             "authors": F.coalesce(names, empty),

@@ -14,14 +14,30 @@ _RECORD = (
 )
 
 
-def paper_rows(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Project ``df`` to the import schema; columns not given are null, or empty arrays."""
+def paper_rows(df: DataFrame, columns: dict[str, Column], carried: tuple[str, ...] = ()) -> DataFrame:
+    """Project ``df`` to the import schema and ``carried``; columns not given are null, or empty arrays."""
     def value(field):
+        if field.name == "_seq" and "_seq" in columns:
+            return columns["_seq"]  # any type that sorts in arrival order
         if field.name in columns:
-            return columns[field.name]
-        return F.array() if field.dataType.typeName() == "array" else F.lit(None)
+            return columns[field.name].cast(field.dataType)
+        return (F.array() if field.dataType.typeName() == "array" else F.lit(None)).cast(field.dataType)
 
-    return df.select(*[value(f).cast(f.dataType).alias(f.name) for f in PAPER_IN])
+    return df.select(*[value(f).alias(f.name) for f in PAPER_IN], *carried)
+
+
+def arrival(place: Column | None = None) -> Column:
+    """Sorts the rows of a file scan as they arrived: files by modification time and path, then blocks of a file, then rows.
+
+    The rows of one block are read in order by one task, so a number that grows within a task
+    orders them; it is never compared across blocks.  ``place`` is the place inside a row.
+    """
+    file = F.col("_metadata")
+    row = F.monotonically_increasing_id()
+    return F.struct(
+        file["file_modification_time"].alias("time"), file["file_path"].alias("file"), file["file_block_start"].alias("block"),
+        row.alias("row"), (F.lit(0) if place is None else place).cast("int").alias("place"),
+    )
 
 
 def year_number(c: Column) -> Column:
@@ -55,19 +71,37 @@ def from_records(records: DataFrame) -> DataFrame:
     return rows
 
 
+def _raw_records(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    schema = f"{_RECORD}, papers ARRAY<STRUCT<{_RECORD}>>, _unreadable STRING"
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_unreadable")
+    return reader.json(path, multiLine=multi_line)
+
+
 def read_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Read JSON records: bare records, a list, or ``{"papers": [...]}`` envelopes.
+    """Read JSON records: bare records, a list, or ``{"papers": [...]}`` envelopes, in order of arrival.
 
-    JSON lines split across tasks; ``multi_line`` reads each file as one document.
+    JSON lines split across tasks; ``multi_line`` reads each file as one document.  Of a line that is not quite
+    a record, the fields that can be read are taken; ``unreadable_records`` lists such lines.
     """
-    raw = spark.read.schema(f"{_RECORD}, papers ARRAY<STRUCT<{_RECORD}>>").json(path, multiLine=multi_line)
-    names = [n for n in raw.columns if n != "papers"]
-    exploded = raw.select(
-        F.monotonically_increasing_id().alias("_row"),
-        F.posexplode(F.coalesce("papers", F.array(F.struct(*names)))).alias("_pos", "_paper"),
-    )
-    ordered = exploded.select("_paper.*", "_row", "_pos").withColumn("_seq", F.monotonically_increasing_id())
-    return from_records(ordered)
+    raw = _raw_records(spark, path, multi_line).withColumn("_at", arrival())
+    names = [n for n in raw.columns if n not in ("papers", "_unreadable", "_at")]
+    exploded = raw.select("_at", F.posexplode(F.coalesce("papers", F.array(F.struct(*names)))).alias("_place", "_paper"))
+    return from_records(exploded.select("_paper.*", F.col("_at").withField("place", F.col("_place")).alias("_seq")))
+
+
+def unreadable_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """file, line and title (null if nothing of it was imported) of every line that is no whole record."""
+    raw = _raw_records(spark, path, multi_line)
+    # Fields that nothing asks for are not parsed, and then not found wrong either.
+    all_parsed = F.to_json(F.struct(*[c for c in raw.columns if c != "_unreadable"])) != ""
+    found = raw.where(F.col("_unreadable").isNotNull() & all_parsed)
+    return found.select(F.col("_metadata.file_path").alias("file"), F.col("_unreadable").alias("line"), "title")
+
+
+def unreadable_counts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """file, lines, lost: how many lines of each file are no whole record, and how many of them gave no title."""
+    lines = unreadable_records(spark, path, multi_line)
+    return lines.groupBy("file").agg(F.count("*").alias("lines"), F.count_if(F.col("title").isNull()).alias("lost"))
 
 
 def from_titles(titles: DataFrame, venue: str = "CVPR", year: int = 2025) -> DataFrame:
@@ -88,5 +122,5 @@ def from_titles(titles: DataFrame, venue: str = "CVPR", year: int = 2025) -> Dat
 
 def read_titles(spark: SparkSession, path: str, venue: str = "CVPR", year: int = 2025) -> DataFrame:
     """One title per line."""
-    lines = spark.read.text(path).select(F.col("value").alias("title"), F.monotonically_increasing_id().alias("_seq"))
+    lines = spark.read.text(path).select(F.col("value").alias("title"), arrival().alias("_seq"))
     return from_titles(lines, venue, year)

@@ -2,7 +2,9 @@
 
 import hashlib
 import json
+import os
 
+from citewell.operators import catalog, collect
 from citewell.sources import listing, providers, records, sinks
 
 
@@ -120,3 +122,53 @@ def test_sinks(spark, papers_of, tmp_path):
     sinks.write_collection(papers, str(tmp_path / "run"), "src", "http://s", ["q1", "q2"], "2025-01-01 00:00:00")
     row = spark.read.json(str(tmp_path / "run/provenance")).first()
     assert (row["count"], row["source"], row["queries"]) == (4, "src", ["q1", "q2"])
+
+
+def _write(path, text, at):
+    path.write_text(text)
+    os.utime(path, (at, at))
+
+
+def test_records_arrive_by_time_not_by_size(spark, tmp_path):
+    _write(tmp_path / "b.json", "\n".join(f'{{"title": "first {i}"}}' for i in range(3)), 1_000)
+    _write(tmp_path / "a.json", "\n".join(f'{{"title": "later {i}", "abstract": "{"x" * 5000}"}}' for i in range(40)), 2_000)
+    _write(tmp_path / "c.json", '{"papers": [{"title": "last 0"}, {"title": "last 1"}]}', 3_000)
+    got = [r.title for r in records.read_records(spark, str(tmp_path)).orderBy("_seq").collect()]
+    assert got == [f"first {i}" for i in range(3)] + [f"later {i}" for i in range(40)] + ["last 0", "last 1"]
+
+
+def test_titles_arrive_by_time_not_by_size(spark, tmp_path):
+    _write(tmp_path / "z.txt", "one\ntwo", 1_000)
+    _write(tmp_path / "a.txt", "\n".join("long " * 500 + str(i) for i in range(30)) + "\nlast", 2_000)
+    got = [r.title for r in records.read_titles(spark, str(tmp_path)).orderBy("_seq").collect()]
+    assert got[:2] == ["one", "two"] and got[-1] == "last" and len(got) == 33
+
+
+def test_last_arrival_wins_in_a_merge(spark, tmp_path, papers_of):
+    _write(tmp_path / "b.json", '{"title": "Old", "dblp_key": "k", "venue": "CVPR"}', 1_000)
+    _write(tmp_path / "a.json", '{"title": "New", "dblp_key": "k", "abstract": "' + "x" * 9000 + '"}\n{"title": "Other"}', 2_000)
+    merged = catalog.merge_upsert(papers_of(), records.read_records(spark, str(tmp_path)), "s").orderBy("id").collect()
+    assert [(r.title, r.venue) for r in merged] == [("New", "CVPR"), ("Other", None)]
+
+
+def test_unreadable_lines_are_counted(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"title": "whole"}\n{"title": "cut sho\n{"title": "odd", "authors": "A"}\n')
+    assert sorted(r.title for r in records.read_records(spark, str(tmp_path)).collect()) == ["odd", "whole"]
+    assert sorted((r.line[:16], r.title) for r in records.unreadable_records(spark, str(tmp_path)).collect()) == [
+        ('{"title": "cut s', None), ('{"title": "odd",', "odd")]
+    assert [(r.lines, r.lost) for r in records.unreadable_counts(spark, str(tmp_path)).collect()] == [(2, 1)]
+
+
+def test_sources_keep_their_order(spark, batch_of):
+    first, second = batch_of({"title": "a2", "_seq": 7}, {"title": "a1", "_seq": 3}), batch_of({"title": "b", "_seq": 0})
+    assert [r.title for r in collect.in_source_order(first, second).orderBy("_seq").collect()] == ["a1", "a2", "b"]
+
+
+def test_brackets_in_a_name_survive(spark, tmp_path):
+    page = '{"query": "q", "result": {"hits": {"hit": {"info": {"title": "T", "authors": {"author": %s}, "ee": %s, "key": "k"}}}}}'
+    lines = [page % ('"[Anon] X"', '"[x](y)"'), page % ('["[A] B", {"text": "[C] D"}]', '["l", {"href": "m"}]'), page % ("null", "null")]
+    (tmp_path / "pages.json").write_text("\n".join(lines))
+    rows = providers.read_dblp(spark, str(tmp_path)).orderBy("_seq").collect()
+    assert [r.authors for r in rows] == [["[Anon] X"], ["[A] B", "[C] D"], []]
+    assert [r.electronic_edition for r in rows] == [["[x](y)"], ["l", "m"], []]
+    assert {r["query"] for r in rows} == {"q"}
