@@ -140,33 +140,15 @@ def test_line_groups_equal_all_pairs(spark, docs_of):
         rows.append((d, "\n".join(lines), None, None))
     docs = docs_of(*rows, *ODD)
     lines = line_dedup._lines(docs, "doc_id", "text").selectExpr("key", "document", "line", "xxhash64(norm) hash", "norm").collect()
-    sims = {r.hash: r.sim for r in line_dedup._simhashes(line_dedup._lines(docs, "doc_id", "text")).collect()}
     norms = {r.hash: r.norm for r in lines}
-    # SimHash itself: majority of the words' hash bits.
-    words = {w for n in norms.values() for w in n.split(" ")}
-    hashed = {r.w: r.h for r in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) h").collect()}
-    for h, norm in norms.items():
-        own = [hashed[w] for w in set(norm.split(" "))]
-        bits = sum(1 << b for b in range(63) if 2 * sum(v >> b & 1 for v in own) > len(own))
-        assert sims[h] == bits
-
-    def distance(a, b):
-        before = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            row = [i]
-            for j, y in enumerate(b, 1):
-                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
-            before = row
-        return before[-1]
-
-    union, keys, links = Union(), sorted(norms), 0
-    for i, a in enumerate(keys):
-        for b in keys[:i]:
-            if (sims[a] ^ sims[b]).bit_count() <= line_dedup.APART:
-                longer = max(len(norms[a]), len(norms[b]))
-                if len(norms[a]) < 2000 and distance(norms[a], norms[b]) <= 20 * longer // 100:
-                    union.join(a, b)
-                    links += 1
+
+    # Plain edit distance of all pairs, without blocks or SimHash.
+    distinct = spark.createDataFrame([(h, n) for h, n in norms.items() if len(n) < 2000], "h long, n string")
+    pairs = distinct.crossJoin(distinct.selectExpr("h g", "n m")).where("h < g and 5 * levenshtein(n, m) <= greatest(length(n), length(m))")
+    union, links = Union(), 0
+    for r in pairs.collect():
+        union.join(r.h, r.g)
+        links += 1
     assert links > 10
     first = {}
     for r in sorted(lines, key=lambda r: (r.key is None, r.key or 0, r.document, r.line)):
@@ -188,14 +170,69 @@ def test_most_similar_lines_are_found(docs_of):
     assert all(r.key % 2 for r in got) and len(got) >= 0.9 * 250
 
 
-def test_lines_of_any_length_take_part(docs_of, monkeypatch):
+def test_lines_of_any_length_take_part(docs_of):
     chinese = "這是一個沒有空格的段落而且它的內容很長所以應該只留下一次"
     got = line_dedup.removals(docs_of((1, f"Home page\n---\n{chinese}", None, None), (2, f"home page!\n---\n{chinese}\n{chinese[:-1]}人", None, None)))
     assert {r.doc_id: r.removed for r in got.collect()} == {1: [], 2: [0, 2, 3]}
-    lines = line_dedup._lines(docs_of((1, " ".join(f"w{i}" for i in range(500)), None, None)), "doc_id", "text")
-    whole = line_dedup._simhashes(lines).collect()
-    monkeypatch.setattr(line_dedup, "_TOGETHER", 64)
-    assert line_dedup._simhashes(lines).collect() == whole
+    short = line_dedup.removals(docs_of((1, "12345\nchapters\nend", None, None), (2, "12346\nchapter\nEND.", None, None)))
+    assert {r.doc_id: r.removed for r in short.collect()} == {1: [], 2: [2]}
+
+
+def test_simhash_is_the_majority_of_the_words(spark):
+    norms = ["one two two three", "a", " ".join(f"w{i % 70}" for i in range(500))]
+    lines = spark.createDataFrame([(i, n) for i, n in enumerate(norms)], "hash long, norm string")
+    words = sorted({w for n in norms for w in n.split(" ")})
+    hashed = {r.w: r.h for r in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) h").collect()}
+    for r in line_dedup._simhashes(line_dedup._hashed_words(lines)).collect():
+        own = [hashed[w] for w in set(norms[r.hash].split(" "))]
+        assert r.sim == sum(1 << b for b in range(63) if 2 * sum(v >> b & 1 for v in own) > len(own))
+        assert (r.words, r.size) == (norms[r.hash].count(" ") + 1, len(norms[r.hash]))
+
+
+def test_long_lines_are_compared_by_their_runs(docs_of):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(4000)]
+    near = [w if i % 50 else "edit" for i, w in enumerate(words)]
+    other = [f"v{rng.randrange(10**6)}" for _ in range(4000)]
+    solid = "".join(rng.choice("abcdefgh") for _ in range(20_000))
+    texts = [" ".join(words), " ".join(near), " ".join(other), solid, solid[:9000] + "z" + solid[9001:], solid[::-1]]
+    got = line_dedup.line_groups(docs_of(*[(i, t, None, None) for i, t in enumerate(texts)])).collect()
+    assert {r.key for r in got if r.removed} == {1, 4}
+
+
+def test_edited_lines_of_each_length_are_found(docs_of):
+    """Nine in ten of the lines with one or a few edits within the limit are linked, for each kind of edit and length."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(5, 10)))
+
+    def letters(words, n):
+        line = list(" ".join(words))
+        for i in rng.sample([i for i, c in enumerate(line) if c != " "], n):
+            line[i] = "z"
+        return "".join(line)
+
+    def replaced(words):
+        at = set(rng.sample(range(len(words)), max(1, len(words) // 10)))
+        return " ".join("z" * len(w) if i in at else w for i, w in enumerate(words))
+
+    kinds = [lambda w: letters(w, 1), replaced, lambda w: " ".join(w[1:])]
+    lines, groups = [], []
+    for least, most in (3, 4), (5, 9), (10, 19), (20, 60):
+        for kind, edit in enumerate(kinds):
+            if least < 5 and kind:
+                continue  # one word is more than a fifth of such a line
+            made = 0
+            while made < 60:
+                words = [word() for _ in range(rng.randint(least, most))]
+                a, b = " ".join(words), edit(words)
+                if 5 * abs(len(a) - len(b)) <= max(len(a), len(b)) and (kind != 1 or 5 * sum(x != y for x, y in zip(a, b)) <= len(a)):
+                    lines += [a, b]
+                    groups.append((least, kind))
+                    made += 1
+    got = line_dedup.line_groups(docs_of(*[(i, t, None, None) for i, t in enumerate(lines)])).where("removed").collect()
+    found = Counter(groups[r.key // 2] for r in got)
+    assert all(r.key % 2 for r in got)
+    assert all(found[g] >= 54 for g in set(groups)), found
 
 
 def test_removed_lines_of_odd_rows(odd, none):
