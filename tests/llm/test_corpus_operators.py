@@ -143,7 +143,7 @@ def test_line_groups_equal_all_pairs(spark, docs_of):
     norms = {r.hash: r.norm for r in lines}
 
     # Plain edit distance of all pairs, without blocks or SimHash.
-    distinct = spark.createDataFrame([(h, n) for h, n in norms.items() if len(n) < 2000], "h long, n string")
+    distinct = spark.createDataFrame([(h, n) for h, n in norms.items() if len(n) <= line_dedup.LONG], "h long, n string")
     pairs = distinct.crossJoin(distinct.selectExpr("h g", "n m")).where("h < g and 5 * levenshtein(n, m) <= greatest(length(n), length(m))")
     union, links = Union(), 0
     for r in pairs.collect():
