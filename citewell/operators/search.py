@@ -210,7 +210,7 @@ def batch_search(papers: DataFrame, queries: DataFrame, limit: int = 20, facets:
     for row in open_queries.select("least").distinct().collect():  # one for each number of wildcards
         shown = all_papers(fields.where(F.col("longest") >= row["least"]), limit).select("id", "title", "year", "venue")
         numbered = shown.withColumn("position", F.row_number().over(Window.orderBy(*newest_first())))  # ``limit`` rows
-        ranked = ranked.unionByName(open_queries.where(F.col("least") == row["least"]).select("query_id").crossJoin(numbered))
+        ranked = ranked.unionByName(open_queries.join(numbered.withColumn("least", F.lit(row["least"])), "least").drop("least"))
     return ranked
 
 

@@ -691,9 +691,10 @@ def unreadable_lines(spark, sf_dir):
         F.col("lang") == "fr", F.replace(line, F.lit('["fr"]'), F.lit('"fr"'))
     ).otherwise(line)
     table(spark, sf_dir, "documents").select(kept.alias("value")).write.text(out)
-    counts = records.unreadable_counts(spark, out).agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"), F.coalesce(F.sum("lost"), F.lit(0)).alias("lost"))
-    read = records.read_records(spark, out).agg(F.count("*").alias("imported"))
-    return counts.crossJoin(read)  # one row each
+    none = F.lit(0).cast("bigint")
+    counts = records.unreadable_counts(spark, out).select("lines", "lost", none.alias("imported"))
+    read = records.read_records(spark, out).agg(F.count("*").alias("imported")).select(none.alias("lines"), none.alias("lost"), "imported")
+    return counts.unionByName(read).agg(*[F.sum(c).alias(c) for c in ("lines", "lost", "imported")])
 
 
 @query
