@@ -14,8 +14,9 @@ verified on the whole sets.
 * First every node is held against the most central nodes it shares a first token with, and
   what links becomes one component.  After that only tokens shared by different components, and
   only pairs across components, are looked at: a large group of near copies makes no pairs.
-* The parity of token hashes in 512 bits (4,096 for large sets) bounds the difference of two
-  sets from below, inside the join, so hardly a pair comes out that doesn't link.
+* The parity of token hashes in 512 bits bounds the difference of two sets from below, inside the
+  join, so hardly a pair comes out that doesn't link; large sets have 4,096 bits, compared after it.
+* A pair comes out once for a run of shared first tokens, not once for each of them.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ FREQUENT = 64
 _COUNTED, _COUNTED_LEAST = 6, 8
 #: First tokens of each order that look for a central node.
 _STARS = 4
+#: Tokens before a shared one that are looked at, so that a pair comes out once for a run of shared tokens.
+_EARLIER = 4
 _SALTS = tuple(np.uint64(s) for s in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 _LOW = np.uint64((1 << 64) // _COUNTED)
 _BITS = 1 << 26
@@ -63,12 +66,13 @@ def parity(tokens: np.ndarray, bits: int) -> list[int]:
 
 
 def prefixes(tokens: np.ndarray, last: np.ndarray, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> list[list[int]]:
-    """The first tokens of each order; ``last`` marks the tokens that come last."""
+    """The first tokens of each order; ``last`` (0 to 3 for each token) comes before the hash."""
     p = prefix_length(len(tokens), numerator, denominator)
     out = []
     for salt in _SALTS:
-        hashed = mix(tokens ^ salt) if salt else tokens
-        out.append(tokens[np.lexsort((hashed, last))[:p]].view(np.int64).tolist())
+        order = last << np.uint64(62) | (mix(tokens ^ salt) if salt else tokens) >> np.uint64(2)
+        first = np.argpartition(order, p - 1)[:p]
+        out.append(_signed(tokens[first[np.argsort(order[first])]]))
     return out
 
 
@@ -94,32 +98,34 @@ def _signed(tokens: np.ndarray) -> list[int]:
     return tokens.view(np.int64).tolist()
 
 
+def _key_place(key: str = "key") -> Column:
+    return F.expr(f"xxhash64({key}) & {_BITS - 1}").alias("at")
+
+
 def _sets(docs: DataFrame, wanted, shingle: int) -> DataFrame:
-    """key, node, tokens of the documents at places of a bitmap of node and key."""
+    """key, node, tokens of the documents whose keys are at places of a bitmap; no other text is cut into shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def start():
         known = shared.value
 
-        def made(keys, texts):
+        def made(keys, texts, places):
             rows = []
-            for key, text in zip(keys, texts):
-                tokens = token_set(text, shingle)
+            for i in np.flatnonzero(_has(known, np.array(places, np.uint64))):
+                tokens = token_set(texts[i], shingle)
                 if (node := node_of(tokens)) is not None:
-                    at = np.uint64((node ^ (key or 0)) & (_BITS - 1))
-                    if _has(known, at):
-                        rows.append((key, node, _signed(tokens)))
+                    rows.append((keys[i], node, _signed(tokens)))
             return tuple(zip(*rows)) if rows else ((), (), ())
 
         return made
 
-    return map_batches(docs, f"key {dict(docs.dtypes)['key']}, node long, tokens array<long>", start)
+    return map_batches(docs.select("key", "text", _key_place()), f"key {dict(docs.dtypes)['key']}, node long, tokens array<long>", start)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, shingle: int, numerator: int, denominator: int) -> DataFrame:
     """The pairs (a, b) of nodes that link, by their whole sets."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
-    wanted = bitmap(ends.select(F.expr(f"(node ^ coalesce(key, 0)) & {_BITS - 1}").alias("at")))
+    wanted = bitmap(ends.select(_key_place()))
     sets = _sets(docs, wanted, shingle).join(ends.select("node", F.col("key").alias("__key")), "node")
     sets = staged(sets.where(F.col("key").eqNullSafe(F.col("__key"))).select("node", "tokens"), "jaccard-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(
@@ -130,14 +136,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, shingle: int
 
 
 def _may_link(x: str, y: str, numerator: int, denominator: int) -> Column:
-    """Whether sizes and parities of two nodes leave room for a link: the difference is at most 1/19 of both sizes for 0.9."""
+    """Whether sizes and small parities of two nodes leave room for a link: the difference is at most 1/19 of both sizes for 0.9."""
     gap = " + ".join(f"bit_count({x}.small[{i}] ^ {y}.small[{i}])" for i in range(_SMALL // 64))
     whole, apart = f"{denominator - numerator} * ({x}.n + {y}.n)", denominator + numerator
-    large = f"aggregate(zip_with({x}.large, {y}.large, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
-    return F.expr(
-        f"{apart} * abs({x}.n - {y}.n) <= {whole} and {apart} * ({gap}) <= {whole}"
-        f" and ({x}.large is null or {y}.large is null or {apart} * {large} <= {whole})"
-    )
+    return F.expr(f"{apart} * abs({x}.n - {y}.n) <= {whole} and {apart} * ({gap}) <= {whole}")
+
+
+def _large_may_link(x: str, y: str, numerator: int, denominator: int) -> Column:
+    """The same for the large parities, which large sets have."""
+    whole, apart = f"{denominator - numerator} * ({x}.n + {y}.n)", denominator + numerator
+    gap = f"aggregate(zip_with({x}.large, {y}.large, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
+    return F.expr(f"{x}.large is null or {y}.large is null or {apart} * {gap} <= {whole}")
 
 
 def link_groups(
@@ -178,7 +187,7 @@ def link_groups(
                 tokens = token_set(text, shingle)
                 if n := len(tokens):
                     # Tokens of low hash were counted in most sets: they come first unless they are frequent.
-                    rank = np.where(_has(late, _place(tokens)), 2, tokens >= _LOW)
+                    rank = np.where(_has(late, _place(tokens)), np.uint64(2), (tokens >= _LOW).astype(np.uint64))
                     large = parity(tokens, _LARGE) if n >= _LARGE_FROM else None
                     out.append((key, node_of(tokens), n, parity(tokens, _SMALL), large, *prefixes(tokens, rank, numerator, denominator)))
             return tuple(zip(*out)) if out else ((),) * 8
@@ -209,29 +218,29 @@ def link_groups(
     )
     offers = offers.join(about.select(F.col("node").alias("a"), F.col("it").alias("x")), "a").join(
         about.select(F.col("node").alias("b"), F.col("it").alias("y")), "b"
-    ).where(_may_link("x", "y", numerator, denominator))
-    gap = F.expr("+".join(f"bit_count(x.small[{i}] ^ y.small[{i}])" for i in range(_SMALL // 64)))
-    offers = offers.groupBy("a").agg(
-        F.max_by("b", F.struct("weight", "b")).alias("b"), F.min_by("b", F.struct(gap, "b")).alias("near")
-    )
-    offers = staged(offers.select("a", F.explode(F.array_distinct(F.array("b", "near"))).alias("b")), "jaccard-offers")
+    ).where(_may_link("x", "y", numerator, denominator) & _large_may_link("x", "y", numerator, denominator))
+    offers = staged(offers.select("a", "b"), "jaccard-offers")  # 12 of a node at most
     stars = staged(_verified(offers, docs, firsts, shingle, numerator, denominator), "jaccard-stars")
     grouped = staged(components(stars), "jaccard-groups")
 
-    # What is left: pairs across components.
-    placed = nodes.join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    tokens = placed.select("node", "root", F.explode("p0").alias("token"))
+    # What is left: pairs across components.  Two nodes that share one of the tokens right before this one met there.
+    placed = nodes.select("node", "p0").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    tokens = placed.select("node", "root", F.posexplode("p0").alias("i", "token"))
     shared = tokens.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("token")
-    open_rows = staged(tokens.join(shared, "token").join(about, "node"), "jaccard-open")
+    earlier = F.expr(f"slice(p0, greatest(i - {_EARLIER - 1}, 1), least(i, {_EARLIER}))").alias("earlier")
+    open_rows = tokens.join(shared, "token").join(nodes.select("node", "n", "small", "p0"), "node")
+    open_rows = staged(open_rows.select("token", "node", "root", "n", "small", earlier), "jaccard-open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     across = x.join(
-        y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-        & (F.col("x.node") < F.col("y.node")) & _may_link("x.it", "y.it", numerator, denominator)
+        y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))
+        & ~F.arrays_overlap("x.earlier", "y.earlier") & _may_link("x", "y", numerator, denominator)
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    orders = nodes.select("node", F.struct("p1", "p2").alias("o"))
-    across = across.join(orders.select(F.col("node").alias("a"), F.col("o").alias("oa")), "a").join(
-        orders.select(F.col("node").alias("b"), F.col("o").alias("ob")), "b"
-    ).where("arrays_overlap(oa.p1, ob.p1) and arrays_overlap(oa.p2, ob.p2)").select("a", "b")
+    others = nodes.select("node", F.struct("n", "large", "p1", "p2").alias("o"))
+    across = across.join(others.select(F.col("node").alias("a"), F.col("o").alias("oa")), "a").join(
+        others.select(F.col("node").alias("b"), F.col("o").alias("ob")), "b"
+    ).where("arrays_overlap(oa.p1, ob.p1) and arrays_overlap(oa.p2, ob.p2)").where(
+        _large_may_link("oa", "ob", numerator, denominator)
+    ).select("a", "b")
     across = staged(across, "jaccard-across")
     links = stars.unionByName(_verified(across, docs, firsts, shingle, numerator, denominator))
     final = components(links)

@@ -50,17 +50,17 @@ def test_components(spark):
 # N-gram Jaccard join
 
 
-def shingles(text):
+def shingles(text, n=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))) if words else frozenset()
+    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else frozenset()
 
 
-def brute_groups(rows):
-    union, sets = Union(), [(d, shingles(t)) for d, t in rows]
+def brute_groups(rows, n=3, percent=90):
+    union, sets = Union(), [(d, shingles(t, n)) for d, t in rows]
     for i, (a, x) in enumerate(sets):
         union.find(a)
         for b, y in sets[:i]:
-            if x and y and 100 * len(x & y) >= 90 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 union.join(a, b)
     return {(d, len(x), union.find(d)) for d, x in sets}
 
@@ -86,10 +86,11 @@ def near_copies():
     return rows
 
 
-def test_groups_equal_all_pairs(docs_of):
+@pytest.mark.parametrize("shingle, tenths", [(3, 9), (5, 8)])
+def test_groups_equal_all_pairs(docs_of, shingle, tenths):
     rows = near_copies()
-    got = jaccard_join.link_groups(docs_of(*[(d, t, None, None) for d, t in rows])).collect()
-    assert {tuple(r) for r in got} == brute_groups(rows) and len(got) == len(rows)
+    got = jaccard_join.link_groups(docs_of(*[(d, t, None, None) for d, t in rows]), shingle=shingle, numerator=tenths).collect()
+    assert {tuple(r) for r in got} == brute_groups(rows, shingle, 10 * tenths) and len(got) == len(rows)
 
 
 def test_pipeline_drops_near_copies_of_five_words(spark, docs_of):
