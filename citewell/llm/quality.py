@@ -1,8 +1,9 @@
 """Quality rules: base counts of a text, and lines that too many documents of a host share.
 
-Lines are normalised and hashed; documents are counted by host and line.  Lines of more than
-``LIMIT`` documents of a host count as removed from its documents, and a document that keeps
-less than ``LEAST`` of its words is rejected, as is one that fails the base rules.
+Lines are normalised and hashed; documents are counted by host and line.  There are two limits: lines of
+more than ``LIMIT`` documents of a host, and lines of ``FEW`` documents or more that are over ``SHARE`` of
+the host's documents, count as removed from its documents.  A document that keeps less than
+``LEAST`` of its words is rejected, as is one that fails the base rules.
 """
 
 from __future__ import annotations
@@ -16,10 +17,14 @@ from citewell.session import staged
 
 #: Documents of one host that may share a line.
 LIMIT = 20
+#: Share of a host's documents that may have a line, and the least documents for which the share counts.
+SHARE, FEW = 0.02, 4
 #: Share of its words that a document must keep.
 LEAST = 0.3
 _WINDOW = 8
 _SYMBOLS = "#*$%&|<>"
+# A host's number of documents is met in as many places, as one host may have a third of all lines.
+_PLACES = 32
 
 _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
@@ -58,7 +63,10 @@ def line_words(text: str) -> dict[int, int]:
     return found
 
 
-def judge(docs: DataFrame, key: str = "doc_id", column: str = "text", host: str = "source", limit: int = LIMIT, least: float = LEAST) -> DataFrame:
+def judge(
+    docs: DataFrame, key: str = "doc_id", column: str = "text", host: str = "source",
+    limit: int = LIMIT, least: float = LEAST, share: float = SHARE, few: int = FEW,
+) -> DataFrame:
     """doc_id, the base counts, base_failed, n_removed_words and kept of every row.
 
     Null text has no words and fails the base rules.  A null host is a host of its own.  Repeated
@@ -82,8 +90,13 @@ def judge(docs: DataFrame, key: str = "doc_id", column: str = "text", host: str
 
     counted = staged(map_rows(chosen, schema, start).withColumn("__row", F.monotonically_increasing_id()), "quality")
     lines = counted.select("__row", "host", F.explode("lines").alias("at")).select("__row", "host", "at.line", "at.words")
-    frequent = lines.groupBy("host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > limit)
-    frequent = frequent.select(F.col("host").alias("__host"), F.col("line").alias("__line"))
+    counts = lines.groupBy(F.col("host").alias("__host"), F.col("line").alias("__line")).agg(F.count("*").alias("documents"))
+    counts = counts.where(F.col("documents") >= min(few, limit + 1))
+    sizes = counted.groupBy("host").agg(F.count("*").alias("size")).select("host", "size", F.explode(F.sequence(F.lit(0), F.lit(_PLACES - 1))).alias("place"))
+    frequent = counts.join(
+        sizes, F.col("__host").eqNullSafe(F.col("host")) & (F.expr(f"cast(pmod(__line, {_PLACES}) as int)") == F.col("place"))
+    ).where((F.col("documents") > limit) | (F.col("documents") >= few) & (F.col("documents") > share * F.col("size")))
+    frequent = frequent.select("__host", "__line")
     removed = lines.join(
         frequent, F.col("host").eqNullSafe(F.col("__host")) & (F.col("line") == F.col("__line"))
     ).groupBy("__row").agg(F.sum("words").alias("n_removed_words"))
