@@ -1,7 +1,9 @@
 """Personal data: base patterns, and spans added by weak supervision.
 
-Base spans (email, ip, card, phone) come from patterns with checks and always stay.  Other runs
-of letters and digits are candidates: five labelers - pattern, gazetteer, punctuation around,
+Base spans (email, ip, card, phone) come from patterns with checks and always stay.  Candidates are other runs
+of letters and digits that hold a digit, runs of six or more behind a private word with ``:`` or ``=``, and a known
+given name with a capitalised word behind it.  Names of other shapes, postal addresses, and secrets of letters alone
+without such a word in front are never candidates.  Five labelers - pattern, gazetteer, punctuation around,
 composition, variety - vote private, not private, or abstain.  Expectation-maximisation over the counts of
 vote patterns estimates each labeler's reliability and every pattern's chance of being
 private; a logistic classifier of votes, length and kind is trained on those chances and
@@ -23,9 +25,27 @@ from citewell.llm.common import whole
 from citewell.session import staged
 
 #: Base kinds in their order, then those of added spans.
-KINDS = ("email", "ip", "card", "phone", "number", "id", "secret", "code")
+KINDS = ("email", "ip", "card", "phone", "number", "id", "secret", "code", "name")
+_KIND_FEATURES = ("number", "id", "secret", "name")
 _CANDIDATE = "candidate"
 
+#: Fixed values of the gazetteers: words before a private value, and before a plain one, and given names.
+PRIVATE_WORDS = (
+    "password passwd pwd passphrase token secret key apikey api_key access_key auth bearer credential login pin ssn iban account "
+    "passport licence id_number phone tel telephone mobile cell fax call"
+).split()
+PLAIN_WORDS = (
+    "version v release chapter page pages section figure table volume vol issue no number isbn issn doi line item step part "
+    "year since until public license by nc sa cc http https port size width height score rank total count"
+).split()
+GIVEN_NAMES = (
+    "James Mary John Patricia Robert Jennifer Michael Linda William Elizabeth David Barbara Richard Susan Joseph Jessica Thomas "
+    "Sarah Charles Karen Daniel Nancy Matthew Lisa Anthony Sandra Paul Emily Andrew Anna Peter Maria Laura Kevin Julia Martin "
+    "Carlos Juan Ana Luis Jose Pierre Marie Jean Sophie Hans Klaus Stefan Claudia Giulia Marco Luca Ivan Olga Elena Ahmed Fatima "
+    "Mohammed Ali Priya Raj Wei Yuki Kenji"
+).split()
+_GIVEN = "(?:" + "|".join(GIVEN_NAMES) + ")"
+
 # Possessive forms of the base patterns, which find the same matches in linear time: nothing
 # that follows a possessive part could begin inside it.  (?:\G|(?<!x)) starts a match at the
 # begin of a run of x or where the last match ended.
@@ -35,22 +55,15 @@ _PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     _CANDIDATE: (
-        r"\([0-9]{3}\)\x20?[0-9]{3}[\x20-][0-9]{4}(?![0-9])|(?<![0-9.])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9])"
+        rf"(?<![A-Za-z])(?=[A-Z]){_GIVEN}(?:\x20[A-Z]\.)?\x20[A-Z][a-z]{{1,24}}+(?![A-Za-z])"
+        rf"|(?<![A-Za-z0-9+/_-])(?<=[:=]\x20?[\"']?)(?<=(?i:{'|'.join(PRIVATE_WORDS)})\x20?[:=]\x20?[\"']?)[A-Za-z0-9+/_-]{{6,}}+"
+        r"|\([0-9]{3}\)\x20?[0-9]{3}[\x20-][0-9]{4}(?![0-9])|(?<![0-9.])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9])"
         r"|(?<![A-Za-z0-9+/_-])[A-Za-z+/_-]*+[0-9][A-Za-z0-9+/_-]*+"
     ),
 }
-#: A text without this has no match.
-_NEEDS = {"email": "@", "phone": "+"}
+#: A text in which this is not found has no match.
+_NEEDS = {"email": "@", "phone": "[+]", "ip": "[0-9]", "card": "[0-9]"}
 
-#: Fixed values of the gazetteers: words before a private value, and before a plain one.
-PRIVATE_WORDS = (
-    "password passwd pwd passphrase token secret key apikey api_key access_key auth bearer credential login pin ssn iban account "
-    "passport licence id_number phone tel telephone mobile cell fax call"
-).split()
-PLAIN_WORDS = (
-    "version v release chapter page pages section figure table volume vol issue no number isbn issn doi line item step part "
-    "year since until public license by nc sa cc http https port size width height score rank total count"
-).split()
 _LABELERS = ("pattern", "gazetteer", "around", "composition", "variety")
 _LENGTHS = (4, 8, 12, 16, 20, 32)
 
@@ -59,8 +72,8 @@ def _matches(kind: str) -> Column:
     """kind, i, gap, before, hit, after for the matches of a pattern in ``text``: gap is what lies between the last match and this."""
     pattern = F.lit(_PATTERNS[kind])
     pieces, hits = F.split("text", _PATTERNS[kind], -1), F.regexp_extract_all("text", pattern, F.lit(0))
-    # Texts without the needed character are not searched at all.
-    searched = F.col("text").contains(_NEEDS[kind]) if kind in _NEEDS else F.col("text").rlike("[0-9]")
+    # Texts without a needed character are not searched at all.
+    searched = F.col("text").rlike(_NEEDS.get(kind, ""))
     rows = F.transform(
         F.arrays_zip(pieces.alias("piece"), hits.alias("hit"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("next")),
         lambda x, i: F.struct(
@@ -100,20 +113,21 @@ def _votes() -> dict[str, Column]:
     hit, size = F.col("hit"), F.length("hit")
     word = F.regexp_extract(F.lower("before"), r"([a-z_]+)[\x20]*[=:]?[\x20]*[\"']?$", 1)
     letters, digits = hit.rlike("[A-Za-z]"), hit.rlike("[0-9]")
+    given = hit.rlike(rf"^{_GIVEN}\x20")
     kinds = F.array_size(F.array_distinct(F.split(hit, "")))
     return {
         "pattern": _vote(
             hit.rlike(
                 r"^AKIA[0-9A-Z]{16}$|^[0-9a-f]{16,}$|^(?:sk|pk|gh[a-z]|xox[a-z])[-_][A-Za-z0-9_-]{10,}$|^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
-                r"|^\([0-9]{3}\)|^[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}$"
+                r"|^\([0-9]{3}\)|^[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}$|^[A-Z][a-z]+(?:\x20[A-Z]\.)?\x20[A-Z][a-z]+$"
             ) & ~hit.rlike("^[0-9]{16,}$"),
             hit.rlike(r"^[0-9]{1,6}[A-Za-z]{0,2}$"),
         ),
-        "gazetteer": _vote(word.isin(PRIVATE_WORDS), word.isin(PLAIN_WORDS)),
+        "gazetteer": _vote(given | word.isin(PRIVATE_WORDS), word.isin(PLAIN_WORDS)),
         "around": _vote(
-            F.col("before").rlike(r"[=:][\x20]*[\"']?$"), F.col("before").rlike(r"[$€£#][\x20]?$") | F.col("after").rlike("^[%°.,]?[%°0-9]")
+            F.col("before").rlike(r"[=:][\x20]*[\"']?$|(?:Mr|Mrs|Ms|Dr|Prof|Dear)\.?\x20$"), F.col("before").rlike(r"[$€£#][\x20]?$") | F.col("after").rlike("^[%°.,]?[%°0-9]")
         ),
-        "composition": _vote(letters & digits & (size >= 16), (size < 8) | ~letters & ~hit.rlike("[^0-9]")),
+        "composition": _vote(letters & digits & (size >= 16), (size < 8) & ~given | ~letters & ~hit.rlike("[^0-9]")),
         "variety": _vote(letters & (kinds >= 9), kinds <= 4),
     }
 
@@ -132,7 +146,7 @@ class Classifier:
 def _features() -> list[str]:
     """SQL conditions that are the classifier's features."""
     votes = [f"{name} = {value}" for name in _LABELERS for value in (-1, 1)]
-    return ["true", *votes, *[f"size >= {n}" for n in range(1, len(_LENGTHS) + 1)], *[f"kind = '{k}'" for k in KINDS[4:7]]]
+    return ["true", *votes, *[f"size >= {n}" for n in range(1, len(_LENGTHS) + 1)], *[f"kind = '{k}'" for k in _KIND_FEATURES]]
 
 
 def train(counts: list[tuple[tuple[int, ...], int, str, int]], rounds: int = 60) -> Classifier | None:
@@ -163,7 +177,7 @@ def train(counts: list[tuple[tuple[int, ...], int, str, int]], rounds: int = 60)
     names = _features()
     rows = np.array([
         [1.0, *[float(v[k] == value) for k in range(len(_LABELERS)) for value in (-1, 1)],
-         *[float(size >= n) for n in range(1, len(_LENGTHS) + 1)], *[float(kind == k) for k in KINDS[4:7]]]
+         *[float(size >= n) for n in range(1, len(_LENGTHS) + 1)], *[float(kind == k) for k in _KIND_FEATURES]]
         for v, size, kind, _ in counts
     ])
     # Newton steps of a logistic regression with soft labels and a small penalty.
@@ -215,7 +229,8 @@ def find(docs: DataFrame, key: str = "doc_id", column: str = "text") -> tuple[Da
     sort = (
         F.when(is_base, F.col("kind")).when(hit.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "id")
         .when(hit.rlike(r"^\([0-9]{3}\)|^[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}$"), "number")
-        .when(hit.rlike("[A-Za-z]") & (F.length("hit") >= 16), "secret").otherwise("code")
+        .when(hit.contains(" ") & hit.rlike("^[A-Z]"), "name")
+        .when(~hit.rlike("[0-9]") | hit.rlike("[A-Za-z]") & (F.length("hit") >= 16), "secret").otherwise("code")
     )
     size = sum((F.when(F.length("hit") >= n, 1).otherwise(0) for n in _LENGTHS), F.lit(0))
     voted = staged(
@@ -231,7 +246,11 @@ def find(docs: DataFrame, key: str = "doc_id", column: str = "text") -> tuple[Da
 
 
 def spans_of(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """``key`` and spans of every row: structs of start, place of the kind in ``KINDS``, end, kind, base, in that order."""
+    """``key`` and spans of every row: structs of start, place of the kind in ``KINDS``, end, kind, base, in that order.
+
+    Null and empty texts have an empty list, repeated rows a list each; an empty table gives an
+    empty one, and other columns are left out.
+    """
     rows, spans = find(docs, key, column)
     place = F.array_position(F.lit(list(KINDS)), F.col("kind"))
     span = F.struct("start", place.alias("place"), "end", "kind", "base")

@@ -127,6 +127,43 @@ def test_frequent_lines_are_removed_per_host(docs_of, odd, none):
 # Language
 
 
+def brute_judge(rows, limit, share, few):
+    lines, hosts = {}, Counter(host for *_, host in rows)
+    for i, (_, text, _, _) in enumerate(rows):
+        for line in (text or "").lower().split("\n"):
+            if words := WORD.findall(line):
+                lines.setdefault(i, Counter())[" ".join(words)] += len(words)
+    documents = Counter((rows[i][3], line) for i, found in lines.items() for line in found)
+    out = {}
+    for i, (key, text, _, host) in enumerate(rows):
+        gone = sum(
+            n for line, n in lines.get(i, {}).items()
+            if documents[host, line] > limit or documents[host, line] >= few and documents[host, line] > share * hosts[host]
+        )
+        words, _, _, _, again = brute_counts(text or "")
+        out[key] = gone, words >= 20 and 100 * again <= 30 * words and words - gone >= quality.LEAST * words
+    return out
+
+
+@pytest.mark.parametrize("limit, share, few", [(quality.LIMIT, quality.SHARE, quality.FEW), (6, 0.05, 3), (100, 1.0, 2), (2, 0.9, 50)])
+def test_removed_words_equal_plain_counts(docs_of, limit, share, few):
+    def own(i, n):
+        return " ".join(f"w{i}x{j}" for j in range(n))
+
+    rows = []
+    for host, many in (("big", 250), ("small", 12), (None, 60), ("x" * 50, 1)):
+        for i in range(many):
+            at = len(rows)
+            parts = [own(at, 25)]
+            for every, n in ((1, 9), (7, 70), (11, 12), (60, 80)):
+                if i % every == 0:
+                    parts.append(f"Line  of every {every} " + " ".join(f"t{j}" for j in range(n)).title())
+            rows.append((at, "\n".join(parts) if i % 50 != 49 else None, None, host))
+    got = {r.doc_id: (r.n_removed_words, r.kept) for r in quality.judge(docs_of(*rows), limit=limit, share=share, few=few).collect()}
+    assert got == brute_judge(rows, limit, share, few)
+    assert any(kept for _, kept in got.values()) and (few > 4 or any(gone for gone, _ in got.values()))
+
+
 def test_words_first_then_ngrams(docs_of, odd, none):
     rows = [(i, "the house and the garden of the king", "en", None) for i in range(3)]
     rows += [(10 + i, "das haus und der garten des königs", "de", None) for i in range(3)] + [(20, None, "fr", None), (21, "la maison", None, None)]
@@ -193,6 +230,28 @@ def test_secrets_are_added_and_plain_numbers_are_not(docs_of):
         assert [(s.kind, s.start, s.end) for s in r.spans] == [("secret", 14, 34)]
 
 
+def test_letters_behind_a_private_word_and_names_are_added(docs_of):
+    values = ["correcthorse", "battery-staple", "opensesame", "letmeinplease"]
+    names = ["Anna Weber", "James T. Kirk", "Maria Lopez"]
+    rows = []
+    for i in range(60):
+        rows.append((4 * i, f"so password: {values[i % 4]} stays, item {i} of 90 things", None, None))
+        rows.append((4 * i + 1, f"ask Dr. {names[i % 3]} about page {i} today", None, None))
+        rows.append((4 * i + 2, f"employee 123-45-{1000 + i} on line {i}", None, None))
+        rows.append((4 * i + 3, f"Anna went home: nothing else, The Weber House {i} or password rules apply", None, None))
+    wrong, right, missed = Counter(), Counter(), Counter()
+    text_of = {r[0]: r[1] for r in rows}
+    for r in pii.spans_of(docs_of(*rows)).collect():
+        i, kind = divmod(r.doc_id, 4)
+        want = [("secret", values[i % 4])], [("name", names[i % 3])], [("id", f"123-45-{1000 + i}")], []
+        found = [(s.kind, text_of[r.doc_id][s.start : s.end]) for s in r.spans]
+        for x in found:
+            (right if x in want[kind] else wrong)[x[0]] += 1
+        for x in want[kind]:
+            missed[x[0]] += x not in found
+    assert not wrong and not +missed and right == {"secret": 60, "name": 60, "id": 60}
+
+
 def test_reliability_is_learned():
     votes = [((1, 1, 0, 1, 1), 4, "secret", 100), ((-1, -1, 0, -1, -1), 0, "code", 300), ((1, 0, 1, 1, 1), 4, "secret", 40)]
     model = pii.train(votes)
