@@ -55,14 +55,17 @@ _PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     _CANDIDATE: (
-        rf"(?<![A-Za-z])(?=[A-Z]){_GIVEN}(?:\x20[A-Z]\.)?\x20[A-Z][a-z]{{1,24}}+(?![A-Za-z])"
+        rf"(?=[A-Z])(?<![A-Za-z]){_GIVEN}(?:\x20[A-Z]\.)?\x20[A-Z][a-z]{{1,24}}+(?![A-Za-z])"
         rf"|(?<![A-Za-z0-9+/_-])(?<=[:=]\x20?[\"']?)(?<=(?i:{'|'.join(PRIVATE_WORDS)})\x20?[:=]\x20?[\"']?)[A-Za-z0-9+/_-]{{6,}}+"
         r"|\([0-9]{3}\)\x20?[0-9]{3}[\x20-][0-9]{4}(?![0-9])|(?<![0-9.])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9])"
         r"|(?<![A-Za-z0-9+/_-])[A-Za-z+/_-]*+[0-9][A-Za-z0-9+/_-]*+"
     ),
 }
 #: A text in which this is not found has no match.
-_NEEDS = {"email": "@", "phone": "[+]", "ip": "[0-9]", "card": "[0-9]"}
+_NEEDS = {
+    "email": "@", "phone": "[+]", "ip": "[0-9]", "card": "[0-9]",
+    _CANDIDATE: rf"[0-9]|[:=]\x20?[\"']?[A-Za-z+/_-]{{6}}|(?=[A-Z]){_GIVEN}\x20[A-Z]",
+}
 
 _LABELERS = ("pattern", "gazetteer", "around", "composition", "variety")
 _LENGTHS = (4, 8, 12, 16, 20, 32)
@@ -73,7 +76,7 @@ def _matches(kind: str) -> Column:
     pattern = F.lit(_PATTERNS[kind])
     pieces, hits = F.split("text", _PATTERNS[kind], -1), F.regexp_extract_all("text", pattern, F.lit(0))
     # Texts without a needed character are not searched at all.
-    searched = F.col("text").rlike(_NEEDS.get(kind, ""))
+    searched = F.col("text").rlike(_NEEDS[kind])
     rows = F.transform(
         F.arrays_zip(pieces.alias("piece"), hits.alias("hit"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("next")),
         lambda x, i: F.struct(
