@@ -134,24 +134,45 @@ def _fields_of(papers: DataFrame) -> DataFrame:
 _FOUND = ("query_id", "id", "title", "year", "venue")
 
 
+def _words_holding(words: DataFrame, edges: DataFrame) -> DataFrame:
+    """(text, word): the words that hold the ``edge`` of a text, found by the one of its grams that fewest words have."""
+    whole = F.regexp_extract_all("edge", F.lit(f"(?s)(?=(.{{{_GRAM}}}))"), F.lit(1))
+    grams = F.when(F.length("edge") <= _GRAM, F.array("edge")).otherwise(F.array_distinct(whole))
+    wanted = staged(one_per_row(edges.select("edge").distinct(), grams, "gram", "edge"), "asked-grams")
+    lengths = sorted(r[0] for r in wanted.select(F.length("gram")).distinct().collect())  # at most five
+    offered = one_per_row(words, text_pieces(F.col("word"), lengths or [_GRAM]), "gram", "word")
+    offered = staged(offered.join(wanted.select("gram").distinct(), "gram", "left_semi"), "offered-grams")
+    counts = offered.groupBy("gram").agg(F.count("*").alias("n"))
+    rarity = F.struct(F.coalesce("n", F.lit(0)), "gram")
+    rarest = wanted.join(counts, "gram", "left").groupBy("edge").agg(F.min_by("gram", rarity).alias("gram"))
+    held = rarest.join(offered, "gram").where(F.contains("word", F.col("edge")))
+    return edges.join(held, "edge").select("text", "word")
+
+
 def _by_text(fields: DataFrame, asked: DataFrame) -> DataFrame:
-    """Matches of the queries with a literal part, through an inverted index of its grams.
+    """Matches of the queries with a literal part, through an inverted index of words.
 
-    Papers offer the grams that some query asks for.  Each text is looked up by the one of its
-    grams that fewest papers have, and the full condition is checked on what meets.
+    What stands between two spaces of a text is a whole word of each paper it matches, so a text is looked up by the
+    one of these words that fewest papers have.  A text without such a word is looked up by all words
+    that hold its longest part.  The full condition is checked on what meets.
     """
-    whole = F.regexp_extract_all("piece", F.lit(f"(?s)(?=(.{{{_GRAM}}}))"), F.lit(1))
-    grams = F.when(F.length("piece") <= _GRAM, F.array("piece")).otherwise(F.array_distinct(whole))
-    texts = one_per_row(asked.select("text", "piece").distinct(), grams, "gram", "text")
-    texts = staged(texts, "asked-grams")
-    lengths = sorted(r[0] for r in texts.select(F.length("gram")).distinct().collect())  # at most five
-    pieces = text_pieces(F.col("hay"), lengths or [_GRAM])
-    offered = one_per_row(fields, pieces, "gram", "id").join(texts.select("gram").distinct(), "gram", "left_semi")
-    offered = staged(offered, "offered-grams")
-    counts = offered.groupBy("gram").agg(F.count("*").alias("n"))
-    rarity = F.struct(F.coalesce("n", F.lit(0)), "gram")
-    rarest = texts.join(counts, "gram", "left").groupBy("text").agg(F.min_by("gram", rarity).alias("gram"))
-    met = staged(rarest.join(offered, "gram").select("text", "id"), "met")
+    parts = F.split("piece", " ")
+    inner = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda word: word != "")
+    by_length = F.transform(parts, lambda part: F.struct((-F.length(part)).alias("rank"), part.alias("part")))
+    texts = asked.select("text", "piece").distinct().select("text", inner.alias("inner"), F.array_min(by_length)["part"].alias("edge"))
+    # A text of spaces alone is looked up by the space, which counts as a word of the papers that have one.
+    inner = F.when(F.col("edge") == "", F.array(F.lit(" "))).otherwise(F.col("inner"))
+    texts = staged(texts.withColumn("inner", inner), "asked-texts")
+    space = F.when(F.contains("hay", F.lit(" ")), F.array(F.lit(" "))).otherwise(F.array().cast("array<string>"))
+    words = F.array_distinct(F.filter(F.concat(F.split("hay", f"[ {_FIELD_BREAK}]"), space), lambda word: word != ""))
+    words = staged(one_per_row(fields, words, "word", "row", "id"), "paper-words")
+    wanted = staged(one_per_row(texts, F.array_distinct("inner"), "word", "text"), "asked-words")
+    counts = words.join(wanted.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    rarity = F.struct(F.coalesce("n", F.lit(0)), "word")
+    rarest = wanted.join(counts, "word", "left").groupBy("text").agg(F.min_by("word", rarity).alias("word")).select("text", "word")
+    held = _words_holding(words.select("word").distinct(), texts.where("size(inner) = 0"))
+    keyed = staged(rarest.unionByName(held), "asked-keys")
+    met = staged(keyed.join(words, "word").select("text", "row", "id").distinct().select("text", "id"), "met")
 
     def checked(wild: bool, condition: Column) -> DataFrame:
         return met.where(F.col("text").rlike("[%_]") == wild).join(fields, "id").where(condition)
@@ -179,12 +200,19 @@ def _by_facets(fields: DataFrame, asked: DataFrame) -> DataFrame:
 
 def _parted(papers: DataFrame, queries: DataFrame, facets: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fields of the papers, their matches by text or facets, and the queries that ask for neither."""
-    fields, asked = staged(_fields_of(papers), "search-fields"), staged(located_queries(queries, facets), "asked-queries")
+    fields = staged(_fields_of(papers).withColumn("row", F.monotonically_increasing_id()), "search-fields")
+    asked = staged(located_queries(queries, facets), "asked-queries")
     faceted = (F.col("piece") == "") & (F.col("want_venue").isNotNull() | F.col("want_year").isNotNull())
     found = _by_text(fields, asked.where("piece <> ''")).unionByName(_by_facets(fields, asked.where(faceted)))
     return fields, found, asked.where((F.col("piece") == "") & ~faceted).select("query_id", "least")
 
 
+def _folded(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each different query once, with a number as its ``query_id``, and the ids that ask it: (ask, query_id)."""
+    once = staged(queries.select("query").distinct().withColumn("ask", F.monotonically_increasing_id()), "distinct-queries")
+    return once.select(F.col("ask").alias("query_id"), "query"), queries.join(once, "query").select("ask", "query_id")
+
+
 def query_matches(papers: DataFrame, queries: DataFrame, facets: bool = True) -> DataFrame:
     """All (query, paper) matches for a table of queries, without pairing everything.
 
@@ -192,26 +220,31 @@ def query_matches(papers: DataFrame, queries: DataFrame, facets: bool = True) ->
     they have no text.  A query with neither matches every paper whose longest
     field has as many characters as it has ``_``; those rows are all part of the answer.
     """
-    fields, found, open_queries = _parted(papers, queries, facets)
+    once, askers = _folded(queries)
+    fields, found, open_queries = _parted(papers, once, facets)
     lengths = open_queries.select("least").distinct()
     every = fields.join(F.broadcast(lengths), F.col("longest") >= F.col("least")).join(open_queries, "least")
-    return found.unionByName(every.select(*_FOUND))
+    found = found.unionByName(every.select(*_FOUND)).withColumnRenamed("query_id", "ask")
+    return found.join(askers, "ask").select(*_FOUND)
 
 
 def batch_search(papers: DataFrame, queries: DataFrame, limit: int = 20, facets: bool = True) -> DataFrame:
     """Newest ``limit`` matches of each query, numbered by ``position``.
 
     Queries that ask for neither text nor facets share one list of newest papers (one for
-    each number of ``_`` in them).
+    each number of ``_`` in them).  Equal queries share their matches, too.
     """
-    fields, found, open_queries = _parted(papers, queries, facets)
+    once, askers = _folded(queries)
+    fields, found, open_queries = _parted(papers, once, facets)
     newest = Window.partitionBy("query_id").orderBy(*newest_first())
     ranked = found.withColumn("position", F.row_number().over(newest)).where(F.col("position") <= limit)
     for row in open_queries.select("least").distinct().collect():  # one for each number of wildcards
         shown = all_papers(fields.where(F.col("longest") >= row["least"]), limit).select("id", "title", "year", "venue")
         numbered = shown.withColumn("position", F.row_number().over(Window.orderBy(*newest_first())))  # ``limit`` rows
         ranked = ranked.unionByName(open_queries.join(numbered.withColumn("least", F.lit(row["least"])), "least").drop("least"))
-    return ranked
+    # An id that asks several times has the newest of all that its queries found.
+    asked = ranked.drop("position").withColumnRenamed("query_id", "ask").join(askers, "ask").drop("ask")
+    return asked.withColumn("position", F.row_number().over(newest)).where(F.col("position") <= limit).select(*_FOUND, "position")
 
 
 def batch_exact(papers: DataFrame, queries: DataFrame, limit: int = 20) -> DataFrame:

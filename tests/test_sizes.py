@@ -1,11 +1,18 @@
 """Steps whose work must not grow with copies, hot words or chance pairs."""
 
 import random
+import re
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
-from citewell.operators import match
+from citewell.functions.text import inverted_abstract
+from citewell.operators import match, search
+from citewell.plans import registered
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_keys_of_equal_letters_in_another_order_get_no_ratio(spark):
@@ -32,3 +39,39 @@ def test_similar_keys_are_the_same_for_any_blocks(spark, monkeypatch):
     monkeypatch.setattr(match, "_CANDIDATE_BLOCKS", (4, 5, 7))
     monkeypatch.setattr(match, "_ROWS_AT_ONCE", 2)
     assert whole and {tuple(r) for r in match.similar_keys(left, right).collect()} == whole
+
+
+def test_equal_queries_are_searched_once(spark, papers_of, monkeypatch):
+    papers = papers_of({"title": "Deep vision nets", "year": 2020}, {"title": "Vision", "year": 2021})
+    rows = {}
+
+    def counting(df, name):
+        rows[name] = df.count()
+        return original(df, name)
+
+    original = search.staged
+    monkeypatch.setattr(search, "staged", counting)
+    asked = spark.createDataFrame([(i, "vision") for i in range(50)], "query_id int, query string")
+    found = search.query_matches(papers, asked)
+    assert sorted((r.query_id, r.id) for r in found.collect()) == [(i, p) for i in range(50) for p in (1, 2)]
+    assert rows["asked-queries"] == 1 and rows["met"] == 2
+    shown = search.batch_search(papers, asked, 1).collect()
+    assert sorted((r.query_id, r.position, r.id) for r in shown) == [(i, 1, 2) for i in range(50)]
+
+
+def test_an_id_that_asks_twice_has_one_numbered_list(spark, papers_of):
+    papers = papers_of({"title": "a vision", "year": 2020}, {"title": "a graph", "year": 2021})
+    asked = spark.createDataFrame([(1, "vision"), (1, "graph"), (1, "graph")], "query_id int, query string")
+    got = [(r.position, r.id) for r in search.batch_search(papers, asked, 2).orderBy("position").collect()]
+    assert got == [(1, 2), (2, 2)]
+
+
+def test_longer_queries_are_located_by_whole_words(spark, papers_of, monkeypatch):
+    papers = papers_of({"title": "the deep vision nets of all"}, {"title": "the vision"}, {"title": "deepvision nets"})
+    staged_names = []
+    original = search.staged
+    monkeypatch.setattr(search, "staged", lambda df, name: staged_names.append((name, df.count())) or original(df, name))
+    asked = spark.createDataFrame([(1, "e deep vision n"), (2, "epvis"), (3, "p v")], "query_id int, query string")
+    got = sorted((r.query_id, r.id) for r in search.query_matches(papers, asked).collect())
+    assert got == [(1, 1), (2, 3), (3, 1)]
+    assert dict(staged_names)["asked-words"] == 2  # "deep" and "vision" of the first
