@@ -1,7 +1,6 @@
 """Steps whose work must not grow with copies, hot words or chance pairs."""
 
 import random
-import re
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -75,3 +74,12 @@ def test_longer_queries_are_located_by_whole_words(spark, papers_of, monkeypatch
     got = sorted((r.query_id, r.id) for r in search.query_matches(papers, asked).collect())
     assert got == [(1, 1), (2, 3), (3, 1)]
     assert dict(staged_names)["asked-words"] == 2  # "deep" and "vision" of the first
+
+
+def test_word_positions_are_built_without_a_row_for_each_word(spark):
+    docs = spark.createDataFrame([(1, "b a  b"), (2, ""), (3, None), (4, "x"), (4, "y x"), (None, "n")], "doc_id long, text string")
+    index = registered._word_positions(docs)
+    assert "Generate" not in _optimized(index)
+    got = {r.doc_id: {w: sorted(p) for w, p in r["index"].items()} for r in index.collect()}
+    assert got == {1: {"b": [0, 3], "a": [1], "": [2]}, 2: {"": [0]}, 4: {"x": [0, 1], "y": [0]}, None: {"n": [0]}}
+    assert index.where("doc_id = 1").select(inverted_abstract(F.col("index"))).first()[0] == "b a  b"
