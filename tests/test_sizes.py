@@ -1,6 +1,7 @@
 """Steps whose work must not grow with copies, hot words or chance pairs."""
 
 import random
+import re
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -83,3 +84,13 @@ def test_word_positions_are_built_without_a_row_for_each_word(spark):
     got = {r.doc_id: {w: sorted(p) for w, p in r["index"].items()} for r in index.collect()}
     assert got == {1: {"b": [0, 3], "a": [1], "": [2]}, 2: {"": [0]}, 4: {"x": [0, 1], "y": [0]}, None: {"n": [0]}}
     assert index.where("doc_id = 1").select(inverted_abstract(F.col("index"))).first()[0] == "b a  b"
+
+
+def test_found_titles_are_joined_last(spark):
+    titles = spark.createDataFrame([(1, "rare one"), (2, "common")], "paper_id long, title string")
+    records = spark.createDataFrame([(i, "common", "a", []) for i in range(3)] + [(9, "Rare", "r", [])],
+                                    "_seq long, title string, abstract string, keywords array<string>")
+    hits = match.title_hits(titles, records)
+    first_join = next(line for line in _optimized(hits).splitlines() if "Join" in line)
+    assert re.search(r"word#\d+ = word#\d+", first_join)
+    assert sorted((r.paper_id, r._seq) for r in hits.collect()) == [(1, 9), (2, 0), (2, 1), (2, 2)]
