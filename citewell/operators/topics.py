@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -27,25 +27,24 @@ def cluster_count(paper_count: int) -> int:
 
 def best_start(
     vectors: DataFrame, k: int, starts: int = STARTS, seed: int = FIRST_SEED, max_iterations: int = MAX_ITERATIONS,
-    features: str = "weights", parallelism: int = 4,
+    features: str = "weights", parallelism: int = 2,
 ) -> KMeansModel:
     """K-means from several seeds; the lowest cost wins, the lower seed on a tie.
 
-    All starts read one persisted copy of the vectors.  A few run side by side, as
-    tuning in Spark ML does, so that the short driver steps of one do not idle executors.
+    The vectors are not persisted here: each start then keeps them as vectors with their norms while it
+    runs, where a persisted table would be decoded again in every iteration.  Two run side by side, so that
+    the short driver steps of one do not idle executors and no more than two copies are held.
     """
-    data = vectors.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        def fit(n: int) -> KMeansModel:
-            return KMeans(k=k, seed=n, maxIter=max_iterations, featuresCol=features, predictionCol="cluster_id").fit(data)
-
-        pool = ThreadPool(min(parallelism, starts))
-        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(seed, seed + starts))
-        pool.close()
-        # Starts that reach one optimum differ in the last digits only; the first of them wins.
-        return min(models, key=lambda m: float(f"{m.summary.trainingCost:.8e}"))
-    finally:
-        data.unpersist()
+    data = vectors.select(features)
+
+    def fit(n: int) -> KMeansModel:
+        return KMeans(k=k, seed=n, maxIter=max_iterations, featuresCol=features, predictionCol="cluster_id").fit(data)
+
+    pool = ThreadPool(min(parallelism, starts))
+    models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(seed, seed + starts))
+    pool.close()
+    # Starts that reach one optimum differ in the last digits only; the first of them wins.
+    return min(models, key=lambda m: float(f"{m.summary.trainingCost:.8e}"))
 
 
 def assign(corpus: WeightedCorpus, starts: int = STARTS) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from citewell.functions.vocab import STOP_WORDS
@@ -151,3 +152,13 @@ def test_degenerate_corpora(papers_of):
     same = refresh(papers_of(*[{"title": "same words"}] * 5))
     assert same.topic_clusters.agg(F.sum("paper_count")).first()[0] == 5
     assert one.trend_stats.count() == 0 and one.keyword_papers.count() == 3
+
+
+def test_starts_read_no_persisted_table(spark, monkeypatch):
+    """K-means keeps its own vectors only when its input is not persisted; a persisted one is decoded in every iteration."""
+    kept, fit = [], topics.KMeans.fit
+    monkeypatch.setattr(topics.KMeans, "fit", lambda self, data: (kept.append(data.storageLevel), fit(self, data))[1])
+    rows = [(Vectors.sparse(6, {i % 6: 1.0 + i % 2}),) for i in range(24)]
+    model = topics.best_start(spark.createDataFrame(rows, ["weights"]), 6, starts=3)
+    assert len(kept) == 3 and not any(level.useMemory or level.useDisk for level in kept)
+    assert len(model.clusterCenters()) == 6
