@@ -236,6 +236,25 @@ def test_edited_lines_of_each_length_are_found(docs_of):
     assert all(found[g] >= 54 for g in set(groups)), found
 
 
+def test_lines_that_share_one_run_of_many_meet(spark, docs_of):
+    """Of 60 words every third is edited but for one run of three; a quarter of the lines have other lines on their other runs."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(5, 10)))
+    lines, others = [], []
+    for i in range(40):
+        words, at = [word() for _ in range(60)], rng.randrange(3, 54)
+        edited = ["z" + w[1:] if j not in range(at, at + 3) and j % 3 == (at + (2 if j < at else 0)) % 3 else w for j, w in enumerate(words)]
+        lines += [" ".join(words), " ".join(edited)]
+        if i % 4 == 0:
+            others += [" ".join([*words[j : j + 3], *[word() for _ in range(40)]]) for j in range(0, 57, 3)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "hash long, norm string")
+    sims = {r.hash: r.sim for r in line_dedup._simhashes(line_dedup._hashed_words(rows)).collect()}
+    want = {i + 1 for i in range(0, 80, 2) if (sims[i] ^ sims[i + 1]).bit_count() <= line_dedup.APART}
+    assert len(want) >= 25 and any(i % 8 == 1 for i in want)
+    got = line_dedup.line_groups(docs_of(*[(i, t, None, None) for i, t in enumerate(lines + others)])).where("removed").collect()
+    assert {r.key for r in got} == want
+
+
 def test_removed_lines_of_odd_rows(odd, none):
     got = Counter((r.doc_id, r.n_lines, tuple(r.removed)) for r in line_dedup.removals(odd).collect())
     assert got[(5, 4, (1,))] == 2 and got[(6, 1, (0,))] == 1 and got[(1, 1, ())] == 1 and got[(3, 2, ())] == 1
