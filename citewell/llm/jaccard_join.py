@@ -176,7 +176,8 @@ def link_groups(
         rows.where("node is not null").groupBy("node").agg(F.min("key").alias("key"), F.count("*").alias("copies")), "jaccard-nodes"
     )
     frequent = rows.select(F.explode("low").alias("token")).groupBy("token").count().where(F.col("count") > FREQUENT)
-    last = docs.sparkSession.sparkContext.broadcast(bitmap(frequent.select(F.expr(f"token & {_BITS - 1}").alias("at"))))
+    frequent = staged(frequent.select(F.expr(f"token & {_BITS - 1}").alias("at")), "jaccard-frequent")
+    last = docs.sparkSession.sparkContext.broadcast(bitmap(frequent))
 
     def start_prefixes():
         late = last.value

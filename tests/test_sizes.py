@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from citewell.functions.text import inverted_abstract
 from citewell.operators import match, search
 from citewell.plans import registered
+from citewell.session import staged
 
 
 def _optimized(df):
@@ -94,3 +95,17 @@ def test_found_titles_are_joined_last(spark):
     first_join = next(line for line in _optimized(hits).splitlines() if "Join" in line)
     assert re.search(r"word#\d+ = word#\d+", first_join)
     assert sorted((r.paper_id, r._seq) for r in hits.collect()) == [(1, 9), (2, 0), (2, 1), (2, 2)]
+
+
+def test_stage_tables_leave_no_shuffle_files(spark):
+    """Shuffles behind a stage table are not kept until the driver collects its garbage; the user's setting stays."""
+    def shuffle_bytes():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+    keys = spark.range(200_000).withColumn("k", F.expr("xxhash64(id)"))
+    before = shuffle_bytes()
+    made = staged(keys.groupBy("k").count(), "released")
+    after = shuffle_bytes()
+    assert made.count() == 200_000 and after <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
