@@ -255,6 +255,17 @@ def test_lines_that_share_one_run_of_many_meet(spark, docs_of):
     assert {r.key for r in got} == want
 
 
+def test_open_rows_hold_all_pairs_and_none_without_company(spark):
+    """Rows of a block alone in their size classes are not dealt out again; every pair of near sizes and other roots still comes out."""
+    rng = random.Random(6)
+    rows = [(b, 100 * b + i, 0, rng.choice((20, 24, 26, 90, 400, 900, 3_000)), 9, rng.choice((100 * b, 100 * b + i))) for b in range(40) for i in range(rng.randrange(2, 6))]
+    rows += [(99, 9_900 + i, 0, size, 9, 9_900 + i) for i, size in enumerate((20, 90, 400, 3_000))]
+    opened = line_dedup._open_rows(spark.createDataFrame(rows, "bucket long, hash long, sim long, size int, words int, root long")).cache()
+    want = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[5] != y[5] and 5 * min(x[3], y[3]) >= 4 * max(x[3], y[3])}
+    assert len(want) > 10 and {(r.a, r.b) for r in line_dedup._across(opened).collect()} == want
+    assert opened.where("bucket = 99").count() == 0
+
+
 def test_removed_lines_of_odd_rows(odd, none):
     got = Counter((r.doc_id, r.n_lines, tuple(r.removed)) for r in line_dedup.removals(odd).collect())
     assert got[(5, 4, (1,))] == 2 and got[(6, 1, (0,))] == 1 and got[(1, 1, ())] == 1 and got[(3, 2, ())] == 1
