@@ -2,9 +2,9 @@
 
 Each match of the pattern is merged by itself.  A segment tree over the match's byte
 positions stores the leftmost least rank of a pair of neighbouring tokens; its root is
-the next merge.  A merge changes three leaves at most (the pair itself, the one
-before it, the one after it, which is gone), each in a logarithmic number of steps, so a
-match of any length takes n log n steps.
+the next merge.  A node has sixteen children, so the tree of most matches is one level.  A merge changes
+three leaves at most (the pair itself, the one before it, the one after it, which is gone), each in a
+logarithmic number of steps, so a match of any length takes n log n steps.
 
 Matches repeat, so what they encode to is remembered per Python worker in a table of
 bounded size.
@@ -44,45 +44,58 @@ def compiled(pattern: str, space: str = _SPACE, letter: str = r"\p{L}", number:
     return engine.compile(re.sub(r"\[[^\]]*\]|\\[sS]|\\p\{[LN]\}", spelt, pattern))
 
 
-def put(tree: list[int], place: int, value: int) -> None:
-    """Set a place of a tree of least values: as far up as something changes."""
-    at = (len(tree) >> 1) + place
-    while tree[at] != value:
-        tree[at] = value
-        if at == 1:
+def climb(tree: list[int], at: int) -> None:
+    """Set a node of a tree of least values by its children, then those above it, as far up as something changes."""
+    while at:
+        least = min(tree[16 * at - 14 : 16 * at + 2])
+        if tree[at] == least:
             return
-        other = tree[at ^ 1]
-        if other < value:
-            value = other
-        at >>= 1
+        tree[at] = least
+        at = (at + 14) >> 4
+
+
+def put(tree: list[int], place: int, value: int) -> None:
+    """Set a place of a tree of least values."""
+    at = tree[0] + place
+    tree[at] = value
+    climb(tree, (at + 14) >> 4)
 
 
 def tree_of(values: list[int]) -> list[int]:
-    """A segment tree: node i holds the lesser of 2i and 2i + 1, node 1 the least of all."""
-    width = 1 << (len(values) - 1).bit_length()
-    levels = [values + [_NEVER] * (width - len(values))]
-    while len(levels[-1]) > 1:
-        below = iter(levels[-1])
-        levels.append([x if x < y else y for x, y in zip(below, below)])
-    return [_NEVER, *itertools.chain.from_iterable(reversed(levels))]
+    """A segment tree: node i holds the least of the sixteen nodes from 16i - 14, node 1 the least of all, number 0 where the values begin."""
+    if len(values) <= 16:
+        return [2, min(values), *values]
+    levels, inner, width = [values], 0, 1
+    while len(below := levels[-1]) > 1:
+        levels.append([min(below[i : i + 16]) for i in range(0, len(below), 16)])
+        inner, width = inner + width, width * 16
+    # Levels above the values are filled up, so that places follow from numbers.
+    filled, width = [], 1
+    for level in levels[:0:-1]:
+        filled += level + [_NEVER] * (width - len(level))
+        width *= 16
+    return [inner + 1, *filled, *values]
 
 
 class Ranks(dict):
-    """Ids of matches by a file of ranks, remembered up to a number of matches."""
+    """Ids of matches by a file of ranks; remembered are up to ``remember`` matches, and as many of before, of which those come back that are met again."""
 
     def __init__(self, path: str, pattern: str, remember: int = 400_000):
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.remember, self.pattern = remember, compiled(pattern)
+        self.keyed = {token: rank << 32 for token, rank in self.ranks.items()}
+        self.remember, self.pattern, self.older = remember, compiled(pattern), {}
         self.plain = compiled(pattern, r"\x09-\x0D\x20", "A-Za-z", "0-9", re)
 
     def __missing__(self, match: str) -> tuple[int, ...]:
-        ids = tuple(self.merged(match.encode("utf-8", "surrogatepass")))
-        if len(match) <= _REMEMBERED_LENGTH:
-            if len(self) >= self.remember:
-                self.clear()
-            self[match] = ids
+        if len(match) > _REMEMBERED_LENGTH:
+            return tuple(self.merged(match.encode("utf-8", "surrogatepass")))
+        ids = self.older.get(match) or tuple(self.merged(match.encode("utf-8", "surrogatepass")))
+        if len(self) >= self.remember:
+            self.older = dict(self)
+            self.clear()
+        self[match] = ids
         return ids
 
     def merged(self, match: bytes) -> list[int]:
@@ -90,31 +103,38 @@ class Ranks(dict):
         ranks = self.ranks
         if match in ranks:
             return [ranks[match]]
-        last = len(match) - 1
-        parts = [match[i : i + 1] for i in range(last + 1)]
+        keyed, last = self.keyed, len(match) - 1
+        # A token is match[place:after[place]]; rank and place of the pair that begins at a place are one number.
         after, before = list(range(1, last + 2)), list(range(-1, last))
-        # Rank and place of the pair that begins at a place, as one number.
-        pairs = [ranks.get(match[i : i + 2], _NONE) << 32 | i for i in range(last)]
-        tree = tree_of([p if p < _NEVER else _NEVER for p in pairs])
+        tree = tree_of([keyed.get(match[i : i + 2], _NEVER) | i for i in range(last)])
+        first = tree[0]
         while (least := tree[1]) < _NEVER:
             at = least & 0xFFFFFFFF
             gone = after[at]
             follows = after[at] = after[gone]
-            parts[at] = joined = parts[at] + parts[gone]
-            parts[gone] = None
-            # The merged place comes last: until then the path above it ends the climb of the others.
+            # Places that change lie under one lowest node, mostly: those are set first, then the nodes above them.
+            node = low = (first + at + 14) >> 4
             if gone < last:
-                put(tree, gone, _NEVER)
-            if at:
-                left = before[at]
-                rank = ranks.get(parts[left] + joined, _NONE)
-                put(tree, left, rank << 32 | left if rank < _NONE else _NEVER)
-            rank = _NONE
+                tree[first + gone] = _NEVER
+                node = (first + gone + 14) >> 4
             if follows <= last:
                 before[follows] = at
-                rank = ranks.get(joined + parts[follows], _NONE)
-            put(tree, at, rank << 32 | at if rank < _NONE else _NEVER)
-        return [ranks[part] for part in parts if part is not None]
+                tree[first + at] = keyed.get(match[at : after[follows]], _NEVER) | at
+            else:
+                tree[first + at] = _NEVER
+            if at:
+                left = before[at]
+                tree[first + left] = keyed.get(match[left:follows], _NEVER) | left
+                if (other := (first + left + 14) >> 4) != low:
+                    climb(tree, other)
+            climb(tree, low)
+            if node != low:
+                climb(tree, node)
+        ids, at = [], 0
+        while at <= last:
+            ids.append(ranks[match[at : after[at]]])
+            at = after[at]
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
         pattern = self.plain if text.isascii() else self.pattern

@@ -63,6 +63,26 @@ def test_byte_bpe_long_texts_and_full_memory(library):
     assert len(ranks) <= 50
 
 
+@pytest.mark.parametrize("n", [16, 17, 256, 257, 5000])
+def test_segment_tree_of_several_levels(n):
+    rng = random.Random(n)
+    values = [rng.randrange(1 << 40) for _ in range(n)]
+    tree = byte_bpe.tree_of(list(values))
+    for _ in range(300):
+        place, value = rng.choice([rng.randrange(n), values.index(min(values))]), rng.randrange(1 << 40)
+        values[place] = value
+        byte_bpe.put(tree, place, value)
+        assert tree[1] == min(values) and len(tree) < 2 * n + 40
+
+
+def test_byte_bpe_merges_no_match_again_that_is_met_again_and_again():
+    ranks, merged = byte_bpe.Ranks(*ranks_path_and_pattern(), remember=50), []
+    ranks.merged = lambda match, whole=ranks.merged: merged.append(match) or whole(match)
+    for i in range(500):
+        assert bytes(ranks.decode(ranks.encode(f"common{i}x"))) == f"common{i}x".encode()
+    assert merged.count(b"common") == 1 and len(ranks) <= 50
+
+
 # Merkle manifest
 
 
