@@ -12,8 +12,10 @@ documents, in which the input projections of words are remembered.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,8 +30,8 @@ PER_CLASS, LONGEST = 1500, 20_000
 _WORD_BUCKETS, _CHAR_BUCKETS, _DEPTH, _HIDDEN, _POOL = 1 << 13, 1 << 14, 16, 8, 8
 _WORDS = re.compile(r"\w+")
 _REMEMBER = 120_000
-#: Windows that are read side by side.
-_SIDE_BY_SIDE = 8192
+#: Windows that are read, and words whose vectors are made, side by side: the driver trains, so this bounds its memory.
+_SIDE_BY_SIDE = 1024
 
 
 def buckets(word: str) -> list[int]:
@@ -39,6 +41,11 @@ def buckets(word: str) -> list[int]:
     return [zlib.crc32(word.encode()) % _WORD_BUCKETS] + [zlib.crc32(f"{i > 4}{p}".encode()) % _CHAR_BUCKETS for i, p in enumerate(parts)]
 
 
+def _features(words: Iterable[str]) -> np.ndarray:
+    """The buckets of words, a row for each, without a list for each."""
+    return np.fromiter(itertools.chain.from_iterable(map(buckets, words)), np.int32).reshape(-1, 8)
+
+
 def windows(n: int) -> list[tuple[int, int]]:
     """Begin and end of the windows over ``n`` words; the last one ends with the text."""
     return [(a, min(a + WINDOW, n)) for a in range(0, max(n - WINDOW + STRIDE, 1), STRIDE)] if n else []
@@ -69,13 +76,21 @@ class Network:
         return cls(weights)
 
     def inputs(self, features: np.ndarray) -> np.ndarray:
-        """Vectors of words from their buckets."""
-        return self.weights["words"][features[:, 0]] + self.weights["chars"][features[:, 1:]].mean(axis=1)
+        """Vectors of words from their buckets, those of ``_SIDE_BY_SIDE`` words at once."""
+        words, chars, vectors = self.weights["words"], self.weights["chars"], np.empty((len(features), _DEPTH), np.float32)
+        for at in range(0, len(features), _SIDE_BY_SIDE):
+            part = features[at : at + _SIDE_BY_SIDE]
+            vectors[at : at + _SIDE_BY_SIDE] = words[part[:, 0]] + chars[part[:, 1:]].mean(axis=1)
+        return vectors
 
     def projected(self, features: np.ndarray) -> np.ndarray:
         """Gate inputs of words: forwards, then backwards."""
         vectors, w = self.inputs(features), self.weights
-        return np.hstack([vectors @ w["in_f"] + w["bias_f"], vectors @ w["in_b"] + w["bias_b"]])
+        gates = np.empty((len(vectors), 6 * _HIDDEN), np.float32)
+        for way, side in (("f", slice(0, 3 * _HIDDEN)), ("b", slice(3 * _HIDDEN, 6 * _HIDDEN))):
+            gates[:, side] = vectors @ w[f"in_{way}"]
+            gates[:, side] += w[f"bias_{way}"]
+        return gates
 
     def _read(self, gates: np.ndarray, places: np.ndarray, mask: np.ndarray, way: str, keep: bool):
         """States of one direction (windows, steps, hidden); ``places`` and ``mask`` run in its order."""
@@ -158,9 +173,10 @@ class Texts:
     """Words of several texts as numbers, and the windows over them."""
 
     def __init__(self, texts: list[str], number):
-        found = [_WORDS.findall(t.lower()) for t in texts]
+        # Text by text: the words of all texts at once, as strings, take ten times the memory of their numbers.
+        found = [np.fromiter(map(number, _WORDS.findall(t.lower())), np.int32) for t in texts]
         starts = np.cumsum([0, *map(len, found)])
-        self.flat = np.fromiter((number(w) for words in found for w in words), np.int32, int(starts[-1]))
+        self.flat = np.concatenate([np.zeros(0, np.int32), *found])
         spans = [(i, int(starts[i]) + a, b - a) for i, words in enumerate(found) for a, b in windows(len(words))]
         self.owner, self.begin, self.length = np.array(spans, np.int64).reshape(-1, 3).T
 
@@ -189,7 +205,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 14, batch: int = 12
         return None
     known: dict[str, int] = {}
     read = Texts(texts, lambda w: known.setdefault(w, len(known)))
-    features, truth = np.array([buckets(w) for w in known], np.int64), np.array(labels, np.float32)
+    features, truth = _features(known), np.array(labels, np.float32)
     network, rng = Network.fresh(seed), np.random.default_rng(seed)
     mean = {k: np.zeros_like(v) for k, v in network.weights.items()}
     square = {k: np.zeros_like(v) for k, v in network.weights.items()}
@@ -275,7 +291,7 @@ def score(
             read = Texts(texts, lambda w: known.setdefault(w, len(known)))
             if len(known) > before:
                 new = list(known)[before:]
-                gates[0] = np.vstack([gates[0], net.projected(np.array([buckets(w) for w in new], np.int64))])
+                gates[0] = np.vstack([gates[0], net.projected(_features(new))])
             best, _ = logits(net, gates[0], read, len(texts))
             return *columns[:-1], _sigmoid(best + net.shift)
 

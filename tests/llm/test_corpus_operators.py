@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -414,6 +415,18 @@ def toxic_rows(n, seed):
     return rows
 
 
+def test_texts_are_read_in_little_memory():
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(40_000)}" for _ in range(3000)) for _ in range(150)]
+    network, known = toxicity.Network.fresh(1), {}
+    tracemalloc.start()
+    read = toxicity.Texts(texts, lambda w: known.setdefault(w, len(known)))
+    best, _ = toxicity.logits(network, network.projected(np.array([toxicity.buckets(w) for w in known])), read, len(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(read.owner) > 9000 and np.isfinite(best).all() and peak < 50e6
+
+
 def test_network_learns_and_scores(spark, docs_of, odd, none):
     network = toxicity.train([t for _, t, _ in toxic_rows(240, 1)], [y for *_, y in toxic_rows(240, 1)])
     rows = toxic_rows(120, 2)
