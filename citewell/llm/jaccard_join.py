@@ -13,7 +13,8 @@ verified on the whole sets.
   cost, not results.
 * First every node is held against the most central nodes it shares a first token with, and
   what links becomes one component.  After that only tokens shared by different components, and
-  only pairs across components, are looked at: a large group of near copies makes no pairs.
+  only pairs across components, are looked at: a large group of near copies makes no pairs.  Where a
+  token is shared by many sets, each is held against some of the others first, in rounds while these halve what is left.
 * The parity of token hashes in 512 bits bounds the difference of two sets from below, inside the
   join, so hardly a pair comes out that doesn't link; large sets have 4,096 bits, compared after it.
 * A pair comes out once for a run of shared first tokens, not once for each of them.
@@ -39,6 +40,8 @@ _COUNTED, _COUNTED_LEAST = 6, 8
 _STARS = 4
 #: Tokens before a shared one that are looked at, so that a pair comes out once for a run of shared tokens.
 _EARLIER = 4
+#: Tokens that more sets share are looked up for some of them first, each set against so many others.
+_CROWDED, _HEADS = 64, 16
 _SALTS = tuple(np.uint64(s) for s in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 _LOW = np.uint64((1 << 64) // _COUNTED)
 _BITS = 1 << 26
@@ -149,6 +152,37 @@ def _large_may_link(x: str, y: str, numerator: int, denominator: int) -> Column:
     return F.expr(f"{x}.large is null or {y}.large is null or {apart} * {gap} <= {whole}")
 
 
+def _open_rows(nodes: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The first tokens of nodes that nodes of another root have, too, with the tokens before and the number of sets; ``grouped`` is node, root."""
+    placed = nodes.select("node", "p0").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    tokens = placed.select("node", "root", F.posexplode("p0").alias("i", "token"))
+    shared = tokens.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("sets"))
+    shared = shared.where("r1 != r2").select("token", "sets")
+    earlier = F.expr(f"slice(p0, greatest(i - {_EARLIER - 1}, 1), least(i, {_EARLIER}))").alias("earlier")
+    rows = tokens.join(shared, "token").join(nodes.select("node", "n", "small", "p0"), "node")
+    return rows.select("token", "sets", "node", "root", "n", "small", earlier)
+
+
+def _still_open(open_rows: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``open_rows`` with the roots of ``grouped``, in which components have grown, without tokens that one root has alone now."""
+    rows = open_rows.drop("root").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node")).select(open_rows.columns)
+    shared = rows.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("token")
+    return rows.join(shared, "token", "left_semi")
+
+
+def _crowded_offers(open_rows: DataFrame, turn: int, numerator: int, denominator: int) -> DataFrame:
+    """Pairs (a, b) that may link of the nodes of a crowded token with ``_HEADS`` of them, others for each token and turn.
+
+    There are no more than ``_HEADS`` times the rows, however large a group is.
+    """
+    rows = open_rows.where(F.col("sets") > _CROWDED)
+    by = Window.partitionBy("token").orderBy(F.xxhash64("node", "token", F.lit(turn)), "node")
+    heads = rows.withColumn("place", F.row_number().over(by)).where(F.col("place") <= _HEADS)
+    x, y = rows.alias("x"), heads.alias("y")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y", numerator, denominator))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def link_groups(
     docs: DataFrame, key: str = "doc_id", column: str = "text",
     shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR,
@@ -224,13 +258,19 @@ def link_groups(
     stars = staged(_verified(offers, docs, firsts, shingle, numerator, denominator), "jaccard-stars")
     grouped = staged(components(stars), "jaccard-groups")
 
-    # What is left: pairs across components.  Two nodes that share one of the tokens right before this one met there.
-    placed = nodes.select("node", "p0").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    tokens = placed.select("node", "root", F.posexplode("p0").alias("i", "token"))
-    shared = tokens.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("token")
-    earlier = F.expr(f"slice(p0, greatest(i - {_EARLIER - 1}, 1), least(i, {_EARLIER}))").alias("earlier")
-    open_rows = tokens.join(shared, "token").join(nodes.select("node", "n", "small", "p0"), "node")
-    open_rows = staged(open_rows.select("token", "node", "root", "n", "small", earlier), "jaccard-open")
+    # What is left: pairs across components, by shared tokens of the first order.
+    open_rows, turn = staged(_open_rows(nodes, grouped), "jaccard-open"), 0
+    left = open_rows.where(F.col("sets") > _CROWDED).count()
+    while left:
+        # Members of a large group that do not link with its centre: each is held against other members first, not against all.
+        offers = staged(_crowded_offers(open_rows, turn, numerator, denominator), "jaccard-crowded")
+        stars = stars.unionByName(staged(_verified(offers, docs, firsts, shingle, numerator, denominator), "jaccard-joined"))
+        grouped, turn = staged(components(stars), "jaccard-groups"), turn + 1
+        open_rows = staged(_still_open(open_rows, grouped), "jaccard-open")
+        before, left = left, open_rows.where(F.col("sets") > _CROWDED).count()
+        if 2 * left > before:
+            break
+    # Two nodes that share one of the tokens right before this one met there.
     x, y = open_rows.alias("x"), open_rows.alias("y")
     across = x.join(
         y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))

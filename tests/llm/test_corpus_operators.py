@@ -415,6 +415,38 @@ def toxic_rows(n, seed):
     return rows
 
 
+def test_a_group_without_a_centre_makes_few_pairs(docs_of, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    edits = [(4 * i + 1, f"e{i}") for i in range(36)]
+    texts = set()
+    while len(texts) < 300:  # two edits each: texts with a common one link, others don't
+        words = list(base)
+        for at, word in rng.sample(edits, 2):
+            words[at] = word
+        texts.add(" ".join(words))
+    texts = sorted(texts) + [" ".join(base[75:] + [f"x{i}{j}" for j in range(60)]) for i in range(20)]
+    sets = [set(jaccard_join.token_set(t).tolist()) for t in texts]
+    want, pairs = Union(), 0
+    for i, x in enumerate(sets):
+        want.find(i)
+        for j in range(i):
+            if 10 * len(x & sets[j]) >= 9 * len(x | sets[j]):
+                want.join(i, j)
+                pairs += 1
+    counts, staged = Counter(), jaccard_join.staged
+
+    def counted(df, name):
+        made = staged(df, name)
+        counts[name] += made.count()
+        return made
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    got = {r.doc_id: r.component_id for r in jaccard_join.link_groups(docs_of(*[(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    assert got == {i: want.find(i) for i in range(len(texts))} and len(set(got.values())) == 21
+    assert pairs > 4000 and counts["jaccard-across"] < len(texts), (pairs, counts)
+
+
 def test_texts_are_read_in_little_memory():
     rng = random.Random(4)
     texts = [" ".join(f"w{rng.randrange(40_000)}" for _ in range(3000)) for _ in range(150)]
