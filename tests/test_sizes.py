@@ -42,6 +42,36 @@ def test_similar_keys_are_the_same_for_any_blocks(spark, monkeypatch):
     assert whole and {tuple(r) for r in match.similar_keys(left, right).collect()} == whole
 
 
+def test_similar_keys_miss_no_pair_of_all(spark):
+    """Pairs without a common gram, and long ones of which only rare letters start a match; runs of one letter and of odd letters, too."""
+    rng = random.Random(7)
+    wide = "abcdefghijklmnopqrstuvwxyz"
+    keys = ["a", "b", "z" * 205, "z" * 230, "é" * 40, "é" * 50 + "𝄞"]
+    for _ in range(25):
+        keys.append("".join(rng.choices("ab", k=rng.randint(1, 90))))
+        keys.append("".join(rng.choices(wide[: rng.randint(2, 26)] + "      ", k=rng.choice((3, 12, 63, 64, 126, 199, 200, 201, 320)))))
+    for key in [*keys]:
+        for share in (0.04, 0.12, 0.2, 0.3):
+            kept = [x if rng.random() >= share else rng.choice(wide + "qqqq0123456789") for x in key]
+            at = rng.randrange(len(kept) + 1)
+            keys.append("".join(kept[at:] + kept[:at] if share == 0.2 else kept if share < 0.3 else kept[: len(kept) * 2 // 3] or kept))
+    for _ in range(30):
+        base = [rng.choice("etaoinshrdl  ") if rng.random() < 0.95 else rng.choice("qxzjkvwypb0123") for _ in range(rng.randint(205, 420))]
+        for edits in (0, 1, 4, 9, 15):
+            kept = [*base]
+            for at in rng.sample(range(len(base)), edits):
+                kept[at : at + 3] = rng.choices("etaoinq", k=rng.randint(0, 6))
+            keys.append("".join(kept))
+    keys = sorted({k for k in keys if k.strip()})
+    rng.shuffle(keys)
+    sides = ["abcdef", *keys[::2]], ["axbxcxdxexf", *keys[1::2]]
+    left, right = (spark.createDataFrame([(k,) for k in side], "key string") for side in sides)
+    want = {(a, b) for a in sides[0] for b in sides[1] if SequenceMatcher(None, a, b).ratio() >= 0.65}
+    assert sum(len(b) >= 200 for _, b in want) > 20 and sum(len(b) < 200 for _, b in want) > 100 and ("abcdef", "axbxcxdxexf") in want
+    got = {tuple(r) for r in match.similar_keys(left, right).collect()}
+    assert not want - got and len(got) < len(keys) ** 2 / 8
+
+
 def test_equal_queries_are_searched_once(spark, papers_of, monkeypatch):
     papers = papers_of({"title": "Deep vision nets", "year": 2020}, {"title": "Vision", "year": 2021})
     rows = {}
