@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -90,6 +91,30 @@ def test_equal_queries_are_searched_once(spark, papers_of, monkeypatch):
     assert sorted((r.query_id, r.position, r.id) for r in shown) == [(i, 1, 2) for i in range(50)]
 
 
+def test_matches_are_counted_before_they_meet_the_ids_that_ask(spark, papers_of, monkeypatch):
+    shelf = papers_of({"title": "Deep vision nets", "year": 2020}, {"title": "Vision", "year": 2021}, {"title": "a graph", "year": 2021})
+    asked = spark.createDataFrame([(i % 30, q) for i in range(60) for q in ("vision", "year:2021", "nothing")] + [(77, "%"), (None, "graph")], "query_id int, query string")
+    monkeypatch.setattr(registered, "papers", lambda *_: shelf)
+    monkeypatch.setattr(registered, "_facet_queries", lambda *_: asked)
+    counted = registered.QUERIES["batch_matches"](spark, "")
+    pairs = search.query_matches(shelf, asked).groupBy("query_id").agg(F.count("*").alias("matches"), F.max("id").alias("last_id"))
+    assert sorted(counted.collect(), key=str) == sorted(pairs.collect(), key=str) and counted.schema == pairs.schema
+    assert {r.query_id: (r.matches, r.last_id) for r in counted.collect()}[0] == (8, 3)
+    plan = _optimized(counted)
+    assert re.search(r"Join Inner, \(?ask#", plan) and "Aggregate [ask#" in plan[plan.index("Join Inner, ("):]
+
+
+def test_wildcards_take_no_time_with_a_power_of_the_length(spark):
+    """All places of a part were tried again for each place of the part before."""
+    texts = [("a b c d " * 4_000, "%a%b%c%d%e%"), ("a b c d " * 3, "%d%_a%d_"), ("xx(y", "x(%"), ("xy%", "x__"), ("", "%"), ("ab\nba", "b%b"), ("aab", "%ab"), ("aXbab", "a_b%b")]
+    df = spark.createDataFrame(texts, "text string, pattern string")
+    began = time.time()
+    got = [r[0] for r in df.select(F.rlike("text", search.wildcard_regex(F.col("pattern")))).collect()]
+    assert time.time() - began < 30 and got == [False, True, True, True, True, True, True, True]
+    like = [r[0] for r in df.where("length(text) < 100").select(F.like("text", search.like_pattern(F.col("pattern")))).collect()]
+    assert like == got[1:]
+
+
 def test_an_id_that_asks_twice_has_one_numbered_list(spark, papers_of):
     papers = papers_of({"title": "a vision", "year": 2020}, {"title": "a graph", "year": 2021})
     asked = spark.createDataFrame([(1, "vision"), (1, "graph"), (1, "graph")], "query_id int, query string")
