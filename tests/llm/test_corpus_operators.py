@@ -202,6 +202,22 @@ def test_long_lines_are_compared_by_their_runs(docs_of):
     assert {r.key for r in got if r.removed} == {1, 4}
 
 
+def test_long_lines_are_compared_by_their_edits(spark, docs_of):
+    """One letter of every fourth word is edited, so few runs of three words are common; or a line's halves change places, and many are."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(5, 10)))
+    lines = []
+    for i in range(24):
+        words = [word() for _ in range(rng.randrange(150, 260))]
+        lines += [" ".join(words), " ".join([*words[len(words) // 2 :], *words[: len(words) // 2]] if i >= 20 else ["z" + w[1:] if j % 4 == 0 else w for j, w in enumerate(words)])]
+    assert all(len(x) > line_dedup.LONG for x in lines)
+    sims = {r.hash: r.sim for r in line_dedup._simhashes(line_dedup._hashed_words(spark.createDataFrame(list(enumerate(lines)), "hash long, norm string"))).collect()}
+    want = {i + 1 for i in range(0, 40, 2) if (sims[i] ^ sims[i + 1]).bit_count() <= line_dedup.APART}
+    assert len(want) >= 15
+    got = line_dedup.line_groups(docs_of(*[(i, t, None, None) for i, t in enumerate(lines)])).where("removed").collect()
+    assert {r.key for r in got} == want
+
+
 def test_edited_lines_of_each_length_are_found(docs_of):
     """Nine in ten of the lines with one or a few edits within the limit are linked, for each kind of edit and length."""
     rng = random.Random(2)
