@@ -152,6 +152,21 @@ def test_found_titles_are_joined_last(spark):
     assert sorted((r.paper_id, r._seq) for r in hits.collect()) == [(1, 9), (2, 0), (2, 1), (2, 2)]
 
 
+def test_titles_are_not_shuffled_with_their_words(spark, monkeypatch):
+    title = " ".join(f"w{i}" for i in range(40))
+    titles = spark.createDataFrame([(1, title), (1, title), (2, title + " rare"), (None, "w3 w4"), (3, None)], "paper_id long, title string")
+    records = spark.createDataFrame([(i, f"w{i} w39", "a", []) for i in range(40)] + [(90, "rare", "r", [])],
+                                    "_seq long, title string, abstract string, keywords array<string>")
+    plans = {}
+    original = match.staged
+    monkeypatch.setattr(match, "staged", lambda df, name: plans.update({name: _optimized(df)}) or original(df, name))
+    hits = match.title_hits(titles, records)
+    folded = next(line for line in plans["rarest-words"].splitlines() if "Aggregate [paper_id" in line)
+    assert "title" not in folded
+    got = sorted(((r.paper_id, r.query, r._seq) for r in hits.collect()), key=str)
+    assert got == sorted([(1, title, 0), (2, title + " rare", 90), (None, "w3 w4", 3)], key=str)
+
+
 def test_stage_tables_leave_no_shuffle_files(spark):
     """Shuffles behind a stage table are not kept until the driver collects its garbage; the user's setting stays."""
     def shuffle_bytes():
