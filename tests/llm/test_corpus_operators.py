@@ -191,6 +191,24 @@ def test_simhash_is_the_majority_of_the_words(spark):
         assert (r.words, r.size) == (norms[r.hash].count(" ") + 1, len(norms[r.hash]))
 
 
+def test_simhash_of_many_words_is_their_majority(spark):
+    norms = [" ".join(f"w{i}" for i in range(n)) for n in (126, 127, 128, 255, 700)] + ["x y"]
+    lines = spark.createDataFrame(list(enumerate(norms)), "hash long, norm string")
+    hashed = {r.w: r.h for r in spark.createDataFrame([(w,) for n in norms[-2:] for w in n.split(" ")], "w string").selectExpr("w", "xxhash64(w) h").collect()}
+    for r in line_dedup._simhashes(line_dedup._hashed_words(lines)).collect():
+        own = [hashed[w] for w in norms[r.hash].split(" ")]
+        assert r.sim == sum(1 << b for b in range(63) if 2 * sum(v >> b & 1 for v in own) > len(own))
+
+
+def test_stage_tables_of_lines_go_when_nothing_reads_them_again(spark, docs_of, monkeypatch):
+    made = {}
+    monkeypatch.setattr(line_dedup, "staged", lambda df, name, own=line_dedup.staged: made.setdefault(name, []).append(own(df, name)) or made[name][-1])
+    lines = [f"{w} one two three four five six seven eight {i}" for i, w in enumerate(("red", "green", "blue", "red and more"))]
+    got = line_dedup.line_groups(docs_of(*[(i, t, None, None) for i, t in enumerate(lines)])).where("removed").count()
+    left = {name for name, tables in made.items() for t in tables if os.path.exists(os.path.dirname(t.inputFiles()[0]).removeprefix("file:"))}
+    assert got == 3 and left >= {"line-places", "line-texts"} and not left & {"line-blocks", "line-entries", "line-open", "line-pairs"}
+
+
 def test_long_lines_are_compared_by_their_runs(docs_of):
     rng = random.Random(3)
     words = [f"w{rng.randrange(10**6)}" for _ in range(4000)]
